@@ -59,22 +59,36 @@ def readings_table(readings: DataFrame, ch_col: str = "ch", readings_col: str =
             .dropDuplicates(["_tok"]))
 
 
-def title_readings(titles: DataFrame, readings: DataFrame, title_col: str = "title") -> DataFrame:
+def _reading_options(tok: Column, readings: Column) -> Column:
+    return F.transform(F.coalesce(readings, F.array(F.lower(tok))), lambda r: F.concat(r, F.lit(" ")))
+
+
+def title_readings(titles: DataFrame, readings: DataFrame, title_col: str = "title",
+                   row_key: list[str] | None = None) -> DataFrame:
     """Per title, the list of reading lists, one per token in title order.
 
     A token without readings (a digit or letter run, or an unknown
     character) stands for itself in lower case; every reading is followed
     by one space. Adds column ``readings`` (``array<array<string>>``).
 
-    Readings depend on the title text only, so distinct titles are tokenised
-    once and joined back; a title shared by many rows is worked on once.
+    With ``row_key`` (columns that identify a row of ``titles``) the rows are
+    exploded, joined to the broadcast readings and gathered back by that key
+    in one pass: the input is computed once, which matters when it is itself
+    an aggregate. Without it, distinct titles are tokenised once and joined
+    back on the title, so a title shared by many rows is worked on once.
     """
     table = F.broadcast(readings_table(readings))
+    if row_key:
+        others = [c for c in titles.columns if c not in row_key]
+        toks = titles.select(*titles.columns, F.posexplode_outer(title_tokens(title_col)).alias("_pos", "_tok"))
+        joined = toks.join(table, "_tok", "left")
+        entry = F.when(F.col("_pos").isNotNull(), F.struct("_pos", _reading_options(F.col("_tok"), F.col("_readings")).alias("_r")))
+        gathered = joined.groupBy(*row_key).agg(*[F.first(c).alias(c) for c in others],
+                                                F.array_sort(F.collect_list(entry)).alias("_l"))
+        return gathered.select(*titles.columns, F.transform("_l", lambda e: e["_r"]).alias("readings"))
     texts = titles.select(F.col(title_col).alias("_title")).where(F.col("_title").isNotNull()).distinct()
     toks = texts.select("_title", F.posexplode(title_tokens("_title")).alias("_pos", "_tok"))
-    joined = toks.join(table, "_tok", "left").select(
-        "_title", "_pos",
-        F.transform(F.coalesce(F.col("_readings"), F.array(F.lower("_tok"))), lambda r: F.concat(r, F.lit(" "))).alias("_r"))
+    joined = toks.join(table, "_tok", "left").select("_title", "_pos", _reading_options(F.col("_tok"), F.col("_readings")).alias("_r"))
     gathered = (joined.groupBy("_title")
                 .agg(F.array_sort(F.collect_list(F.struct("_pos", "_r"))).alias("_l"))
                 .select("_title", F.transform("_l", lambda e: e["_r"]).alias("readings")))

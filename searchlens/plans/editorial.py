@@ -40,9 +40,11 @@ def editorial_payload(by_type: DataFrame, total: DataFrame, topic: str = config.
     return document_message(ranked_document(by_type, "content_type", "rank", entry, total=total), topic)
 
 
-def with_search_code(df: DataFrame, readings: DataFrame, title_col: str = "title") -> DataFrame:
+def with_search_code(df: DataFrame, readings: DataFrame, title_col: str = "title",
+                     row_key: list[str] | None = None) -> DataFrame:
     """Adds ``search_code`` (initials of the first spelling, at most four)."""
-    return title_readings(df, readings, title_col).withColumn("search_code", search_code("readings")).drop("readings")
+    return (title_readings(df, readings, title_col, row_key)
+            .withColumn("search_code", search_code("readings")).drop("readings"))
 
 
 def kids_catalog_codes(programs: DataFrame, subjects: DataFrame, readings: DataFrame,
@@ -77,6 +79,6 @@ def kids_play_rank(kids_play: DataFrame, valid_sids: DataFrame, readings: DataFr
                             "content_type").distinct()
     counts = distinct.groupBy("title", "content_type", "sid").agg(F.count(F.lit(1)).alias("num"))
     valid = keep_valid(counts, valid_sids)
-    coded = with_search_code(valid, readings)
+    coded = with_search_code(valid, readings, row_key=["title", "content_type", "sid"])
     return coded.select("sid", "content_type", "title", "search_code", "num").orderBy(
         F.desc("num"), F.asc("sid"), F.asc("title"), F.asc("content_type"))

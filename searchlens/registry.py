@@ -371,7 +371,7 @@ def q_title_tokens(spark, d):
 
 
 def _title_readings(spark, d):
-    return T.title_readings(fx.catalog(spark, d).select("sid", "title"), _readings(spark))
+    return T.title_readings(fx.catalog(spark, d).select("sid", "title"), _readings(spark), row_key=["sid"])
 
 
 def q_title_spellings(spark, d):

@@ -29,6 +29,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("SEARCHLENS_DRIVER_MEMORY", "8g"))
+        # Local mode runs every task in the driver JVM; the throughput collector
+        # suits these short, allocation-heavy tasks better than G1.
+        .config("spark.driver.extraJavaOptions", os.environ.get("SEARCHLENS_JAVA_OPTS", "-XX:+UseParallelGC"))
     )
     for k, v in JOB_CONF.items():
         builder = builder.config(k, v)

@@ -172,7 +172,12 @@ def test_calendar_functions(spark):
 def test_title_readings_spellings_and_code(spark):
     readings = spark.createDataFrame([("行", ["hang", "xing"]), ("乐", ["le", "yue"])], "ch string, readings array<string>")
     titles = spark.createDataFrame([(1, "行乐 abc12"), (2, "***"), (3, None), (4, "爱")], "k int, title string")
-    out = T.title_readings(titles, readings).select(
+    for row_key in (None, ["k"]):
+        _check_readings(T.title_readings(titles, readings, row_key=row_key))
+
+
+def _check_readings(df):
+    out = df.select(
         "k", T.spellings("readings").alias("sp"), T.search_code("readings").alias("code"),
         T.has_chinese("title").alias("zh"), T.title_tokens("title").alias("tok"))
     got = {r["k"]: r for r in out.collect()}
