@@ -327,4 +327,12 @@ FROM play_log p JOIN idx i ON i.content_type = p.content_type""", ("idx", _INDEX
 Q["topic_mirror"] = (f"SELECT event_type AS topic, CAST(event_id AS STRING) AS key, props AS value FROM events "
                      f"WHERE event_type IN {_in(MIRROR_TOPICS)}")
 
+Q["sql_functions"] = sql(["path_log"], f"""SELECT p.sid, nullif(regexp_extract(p.path, '{_HOME}', 3), '') AS home_code,
+  nullif(regexp_extract(p.path, 'search*([A-Z]+)', 1), '') AS search_code,
+  regexp_replace(regexp_replace(p.path, '[^0-9a-zA-Z\\s一-龥]', '', 'g'), '^\\s+|\\s+$', '', 'g') AS clean_path,
+  coalesce(regexp_matches(p.path, '[一-龥]'), false) AS has_chinese,
+  strftime(o.o_orderdate - INTERVAL 1 DAY, '%Y%m%d') AS day_before,
+  strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S') AS cn_datetime, strftime(o.o_orderdate, '%H') AS hour
+FROM path_log p JOIN orders o ON o.o_orderkey = CAST(p.sid AS BIGINT)""")
+
 ORACLE_SQL = Q

@@ -18,6 +18,7 @@ from . import config
 from .functions import dates as D
 from .functions import scalars as S
 from .functions import titles as T
+from .functions.sql import register_sql_functions
 from .operators import aggregates as A
 from .operators import filters as C
 from .operators.features import encode_categories, index_categories, vector_columns
@@ -30,7 +31,7 @@ from .plans import hot
 from .sources import fixtures as fx
 from .sources.catalog import read_catalog, scan_score_matrix
 from .sources.editorial import parse_editorial
-from .sources.logs import log_retrieval
+from .sources.logs import assoc_preset, log_retrieval
 from .streaming.mirror import mirror_messages
 
 LONG = fx.FIXTURE_LONG_TYPES
@@ -99,13 +100,8 @@ def q_scan_score_matrix(spark, d):
 
 
 def q_log_retrieval(spark, d):
-    types = ", ".join(f"'{t}'" for t in ALL)
-    return log_retrieval(
-        fx.play_log(spark, d), PLAY_AS_OF, PLAY_DAYS,
-        condition=("((user_id IS NOT NULL AND length(user_id) = 32) OR account_id IS NOT NULL) "
-                   f"AND sid IS NOT NULL AND length(sid) > 0 AND content_type IN ({types})"),
-        fields=["user_id", "content_type", "sid", "key_hour", "CAST(account_id AS BIGINT) AS account_id"],
-        results=["user_id", "sid", "lpad(CAST(key_hour AS STRING), 2, '0') AS time", "account_id"])
+    fields, cond, results = assoc_preset(ALL, hour_source="key_hour", hour_expr="lpad(CAST(key_hour AS STRING), 2, '0')")
+    return log_retrieval(fx.play_log(spark, d), PLAY_AS_OF, PLAY_DAYS, cond, fields, results)
 
 
 def q_filter_content_type(spark, d):
@@ -382,6 +378,18 @@ def q_title_search_code(spark, d):
     return _title_readings(spark, d).select("sid", T.search_code("readings").alias("search_code"))
 
 
+def q_sql_functions(spark, d):
+    """The helpers called from SQL text over the path and access-log views."""
+    register_sql_functions(spark, prefix="sl_")
+    return spark.sql(
+        "SELECT p.sid, sl_path_code_home(p.path) AS home_code, sl_path_code_search(p.path) AS search_code, "
+        "sl_clean_title(p.path) AS clean_path, sl_has_chinese(p.path) AS has_chinese, "
+        "sl_day_add(date_format(t.o_orderdate, 'yyyyMMdd'), -1) AS day_before, "
+        "sl_en_to_cn_datetime(t.en_time) AS cn_datetime, sl_hour_of(sl_en_to_cn_datetime(t.en_time)) AS hour "
+        "FROM {paths} p JOIN {times} t ON t.o_orderkey = CAST(p.sid AS BIGINT)",
+        paths=fx.path_log(spark, d), times=fx.access_log_times(spark, d))
+
+
 # --- features, stream ---
 
 def q_index_categories(spark, d):

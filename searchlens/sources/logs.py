@@ -57,3 +57,49 @@ def log_retrieval(
     original jobs are. The window filter goes first so it reaches the scan.
     """
     return filter_window(log, as_of, days, day_col=day_col).selectExpr(*fields).where(condition).selectExpr(*results)
+
+
+# --- C15: presets for ``log_retrieval`` (fields, condition, results), as SQL text ---
+
+def _in_list(types: Sequence[str]) -> str:
+    return "(" + ", ".join("'" + t.replace("'", "''") + "'" for t in types) + ")"
+
+
+def assoc_preset(types: Sequence[str], hour_source: str = "datetime",
+                 hour_expr: str = "substring(datetime, 12, 2)") -> tuple[list[str], str, list[str]]:
+    """Plays for the association job: user, sid, two-digit hour, account as bigint.
+
+    With a ``datetime`` string source, rows whose datetime is too short to
+    hold an hour are dropped, as in the original condition.
+    """
+    fields = ["user_id", "content_type", "sid", hour_source, "CAST(account_id AS BIGINT) AS account_id"]
+    cond = ("((user_id IS NOT NULL AND length(user_id) = 32) OR account_id IS NOT NULL) "
+            f"AND sid IS NOT NULL AND length(sid) > 0 AND content_type IN {_in_list(types)}")
+    if hour_source == "datetime":
+        cond += " AND length(datetime) > 14"
+    return fields, cond, ["user_id", "sid", f"{hour_expr} AS time", "account_id"]
+
+
+def search_preset(types: Sequence[str], with_type: bool = True) -> tuple[list[str], str, list[str]]:
+    """Search rows with text, counted as 1 each (with or without the log's type)."""
+    results = ["search_text", "content_type", "sid", "1 AS num"] if with_type else ["search_text", "sid", "1 AS num"]
+    return (["search_text", "content_type", "sid"],
+            f"search_text IS NOT NULL AND search_text != '' AND content_type IN {_in_list(types)}", results)
+
+
+def path_search_preset(types: Sequence[str], home_types: Sequence[str]) -> tuple[list[str], str, list[str]]:
+    """Search rows whose text is read from a navigation path (H2)."""
+    from ..functions.scalars import home_path_pattern
+    code = f"nullif(regexp_extract(path, '{home_path_pattern(home_types)}', 3), '')"
+    return (["path", "content_type", "sid"], f"content_type IN {_in_list(types)}",
+            [f"{code} AS search_text", "content_type", "sid", "1 AS num"])
+
+
+def view_preset(types: Sequence[str], with_event: bool = True, min_seconds: int = 300,
+                max_seconds: int = 7200) -> tuple[list[str], str, list[str]]:
+    """Valid views for the heat job (C6, or C7 without the event test)."""
+    fields = ["sid", "content_type", "duration"] + (["event"] if with_event else [])
+    cond = f"duration IS NOT NULL AND duration < {max_seconds} AND duration > {min_seconds} AND content_type IN {_in_list(types)}"
+    if with_event:
+        cond += " AND event IN ('userexit', 'selfend') AND sid IS NOT NULL AND length(sid) > 0"
+    return fields, cond, ["sid", "content_type"]

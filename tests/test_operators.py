@@ -227,3 +227,34 @@ def test_table_profile(spark):
 
 def test_bands_config_defaults():
     assert dict(config.BANDS)["afternoon"] == (16, 17, 18) and 18 in dict(config.BANDS)["night"]
+
+
+def test_sql_functions_agree_with_column_builders(spark):
+    from searchlens.functions.sql import register_sql_functions
+    register_sql_functions(spark, prefix="t_")
+    df = spark.createDataFrame([("10/Oct/2019:13:55:36", "home-tv-AB", 8.0, 4.0), ("10/Xxx/2019:13:55:36", "searcXY", 1.0, 1.0),
+                                (None, None, 2.0, 1.5)], "en string, path string, v double, m double")
+    got = df.selectExpr("t_en_to_cn_datetime(en) a", "t_en_to_cn_date(en) b", "t_path_code_home(path) c",
+                        "t_path_code_search(path) d", "t_heat_score(v, m) e").collect()
+    want = df.select(D.en_to_cn_datetime("en").alias("a"), D.en_to_cn_date("en").alias("b"),
+                     S.path_code_home("path").alias("c"), S.path_code_search("path").alias("d"),
+                     S.heat_score("v", "m").alias("e")).collect()
+    assert got == want
+
+
+def test_log_retrieval_presets(spark):
+    from searchlens.sources.logs import assoc_preset, log_retrieval, search_preset, view_preset
+    log = spark.createDataFrame([("u" * 32, 7, "s1", "tv", "2024-01-20 13:05:00", 20240120, "q", 400.0, "userexit"),
+                                 (None, None, "s2", "tv", "2024-01-20 13:05:00", 20240120, "q", 100.0, "userexit")],
+                                "user_id string, account_id int, sid string, content_type string, datetime string, "
+                                "key_day int, search_text string, duration double, event string")
+    out = log_retrieval(log, "20240120", 3, *reversed_preset(assoc_preset(["tv"])))
+    assert [tuple(r) for r in out.collect()] == [("u" * 32, "s1", "13", 7)]
+    assert out.schema["account_id"].dataType.simpleString() == "bigint"
+    assert log_retrieval(log, "20240120", 3, *reversed_preset(search_preset(["tv"]))).count() == 2
+    assert log_retrieval(log, "20240120", 3, *reversed_preset(view_preset(["tv"]))).count() == 1
+
+
+def reversed_preset(preset):
+    fields, cond, results = preset
+    return cond, fields, results
