@@ -7,6 +7,7 @@ Spark's; every computed column has the same alias as on the Spark side.
 
 from __future__ import annotations
 
+from . import config
 from .operators.filters import window_start
 from .registry import (
     ALL, GAP_ORIGIN, LONG, MIRROR_TOPICS, PLAY_AS_OF, PLAY_DAYS, SAMPLE_SEED, SEARCH_AS_OF, SEARCH_DAYS, SHORT,
@@ -335,4 +336,52 @@ Q["sql_functions"] = sql(["path_log"], f"""SELECT p.sid, nullif(regexp_extract(p
   strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S') AS cn_datetime, strftime(o.o_orderdate, '%H') AS hour
 FROM path_log p JOIN orders o ON o.o_orderkey = CAST(p.sid AS BIGINT)""")
 
+# --- payloads whose JSON holds only strings, integers and exact divisions ---
+# (heat and voice payloads carry logarithms and long double sums, whose last
+# digit may differ between engines; unit tests parse those back instead)
+
+def _split(q: str, head: str) -> tuple[str, str]:
+    i = q.index(head)
+    return q[:i].rstrip(), q[i:]
+
+
+def _message(topic: str, key_sql: str, value_sql: str) -> str:
+    return f"SELECT '{topic}' AS topic, {key_sql} AS key, {value_sql} AS value"
+
+
+_ENTRY = "to_json({'sid': sid, 'searchCode': search_code, 'title': title, 'contentType': content_type})::VARCHAR"
+_DOC = f"""(SELECT '{{' || string_agg(to_json(k)::VARCHAR || ':' || items, ',' ORDER BY o, k) || '}}' FROM (
+  SELECT 0 AS o, content_type AS k, '[' || string_agg({_ENTRY}, ',' ORDER BY rank) || ']' AS items FROM by_type GROUP BY content_type
+  UNION ALL SELECT 1, 'total', '[' || string_agg({_ENTRY}, ',' ORDER BY rank) || ']' FROM total))"""
+
+_hot_ctes, _hot_by_type = _split(_hot(True, True, HOT_BY_TYPE), "SELECT content_type, rank, sid, search_code, title, num FROM (")
+_, _hot_total = _split(_hot(True, True, HOT_TOTAL), "SELECT rank, sid, search_code, title, content_type, num FROM (")
+Q["hot_payload"] = (_hot_ctes + ",\nby_type AS (" + _hot_by_type + "),\ntotal AS (" + _hot_total + ")\n"
+                    + _message(config.TOPIC_HOT, "CAST(NULL AS VARCHAR)", _DOC))
+
+_ed_ctes, _ed_by_type = _split(Q["editorial_sample"], "SELECT content_type, rank, sid, search_code, title FROM (")
+_, _ed_total = _split(Q["editorial_sample_total"], "SELECT rank, sid, search_code, title, content_type FROM (")
+Q["editorial_payload"] = (_ed_ctes + ",\nby_type AS (" + _ed_by_type + "),\ntotal AS (" + _ed_total + ")\n"
+                          + _message(config.TOPIC_EDITORIAL, "CAST(NULL AS VARCHAR)", _DOC))
+
+_as_ctes, _as_top = _split(_assoc_top(True, "sid"), "SELECT content_type, rank, sid, n FROM (")
+Q["assoc_payload"] = (_as_ctes + ",\ntop AS (" + _as_top + ")\n" + _message(
+    config.TOPIC_TOP_VIDEOS, "CAST(NULL AS VARCHAR)",
+    """(SELECT '{' || string_agg(to_json(content_type)::VARCHAR || ':' || sids, ',' ORDER BY content_type) || '}' FROM (
+  SELECT content_type, to_json(list(sid ORDER BY rank))::VARCHAR AS sids FROM top GROUP BY content_type))"""))
+
+
+def _band_json(band: str) -> str:
+    return (f"CASE WHEN count(*) FILTER (WHERE band = '{band}') > 0 THEN '[' || string_agg(to_json({{'contentType': content_type, "
+            f"'score': score}})::VARCHAR, ',' ORDER BY position) FILTER (WHERE band = '{band}') || ']' END")
+
+
+Q["pref_payload"] = _prefs(f"""SELECT '{config.TOPIC_USER_TYPES}' AS topic,
+  coalesce(user_id, '') || ':' || CAST(account_id AS VARCHAR) AS key,
+  '{{' || CASE WHEN user_id IS NULL THEN '' ELSE '"userId":' || to_json(user_id)::VARCHAR || ',' END
+  || '"accountId":' || CAST(account_id AS VARCHAR)
+  || coalesce(',"allTime":' || {_band_json('allTime')}, '') || coalesce(',"noon":' || {_band_json('noon')}, '')
+  || coalesce(',"afternoon":' || {_band_json('afternoon')}, '') || coalesce(',"night":' || {_band_json('night')}, '') || '}}' AS value
+FROM prefs GROUP BY user_id, account_id""")
+
 ORACLE_SQL = Q

@@ -68,3 +68,30 @@ def cut_lineage(df: DataFrame, allow_local: bool = False) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession, allow_local=allow_local)
     return df.checkpoint(eager=True)
+
+
+def cluster_conf(input_bytes: int, shuffle_fraction: float = 0.1, scan_split_bytes: int = 1 << 30,
+                 shuffle_partition_bytes: int = 512 << 20, broadcast_bytes: int = 64 << 20) -> dict[str, str]:
+    """Settings to pass to ``spark-submit`` for a job that reads ``input_bytes``.
+
+    - Scan splits of ``scan_split_bytes`` (1 GiB): 100 TB gives ~100k scan
+      tasks, so the driver's task and map-status bookkeeping stays bounded.
+    - Shuffle partitions sized for the bytes that actually cross the shuffle
+      (``shuffle_fraction`` of the input, since columns are pruned and
+      aggregates combine map-side), at ``shuffle_partition_bytes`` each and at
+      least 200; AQE then coalesces small ones and splits skewed ones.
+    - Broadcast threshold (static and AQE) of 64 MiB: catalog-size tables
+      are broadcast, anything larger is sort-merge joined.
+    """
+    shuffle_bytes = int(input_bytes * shuffle_fraction)
+    partitions = max(200, -(-shuffle_bytes // shuffle_partition_bytes))
+    return {
+        **JOB_CONF,
+        "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_partition_bytes // 2),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(shuffle_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
+    }

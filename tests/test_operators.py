@@ -258,3 +258,11 @@ def test_log_retrieval_presets(spark):
 def reversed_preset(preset):
     fields, cond, results = preset
     return cond, fields, results
+
+
+def test_cluster_conf_scales_partitions():
+    from searchlens.session import cluster_conf
+    big = cluster_conf(100 * 10**12)
+    assert int(big["spark.sql.shuffle.partitions"]) == 18627  # 10 TB shuffled / 512 MiB
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(cluster_conf(10**9)["spark.sql.shuffle.partitions"]) == 200
