@@ -74,7 +74,14 @@ def main():
     only = set(sys.argv[2:])
     import __spark_entry__ as se
 
-    spark = local_session()
+    if os.environ.get("PLAIN_SESSION"):
+        # the driver's own kind of session: defaults only
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "America/Los_Angeles")
+                 .getOrCreate())
+    else:
+        spark = local_session()
     con = duck(sf_dir)
     oracle = se.oracle_sql()
     bad = 0
