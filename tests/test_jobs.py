@@ -33,3 +33,27 @@ def test_run_hot_and_association_write_documents(spark):
     assert len(by_topic["search-user-content-types"]) == R.q_pref_payload(spark, SF_SMALL).count()
     assert len(by_topic["search-heat"]) == R.q_heat_score(spark, SF_SMALL).count() > 0
     assert all(json.loads(m["value"])["type"] == "vv" for m in by_topic["search-heat"])
+
+
+def test_cli_runs_jobs_from_paths(spark):
+    from searchlens import cli
+    out = tempfile.mkdtemp(prefix="cli-")
+    play, cat, views = (os.path.join(out, x) for x in ("play", "catalog", "views"))
+    fx.search_log(spark, SF_SMALL).where("log_type = 'play'").write.parquet(play)
+    fx.catalog(spark, SF_SMALL).write.parquet(cat)
+    fx.play_log(spark, SF_SMALL).write.parquet(views)
+    sink = os.path.join(out, "msgs")
+    common = ["--sink-format", "json", "--sink-path", sink]
+    cli.run(["hot", "--play-log", play, "--catalog", cat, "--as-of", R.SEARCH_AS_OF, "--days", str(R.SEARCH_DAYS),
+             "--types", ",".join(R.SHORT_LONG), "--all-searches", "--all-regions", "--topic", "cli-hot", *common], spark)
+    cli.run(["heat", "--play-log", views, "--as-of", R.PLAY_AS_OF, "--days", str(R.PLAY_DAYS),
+             "--types", ",".join(R.LONG), *common], spark)
+    msgs = _read(spark, sink)
+    hot_doc = [json.loads(m["value"]) for m in msgs if m["topic"] == "cli-hot"]
+    assert len(hot_doc) == 1
+    want = R.q_hot_by_type_all_regions(spark, SF_SMALL).collect()
+    for t, items in hot_doc[0].items():
+        if t != "total":
+            assert [e["sid"] for e in items] == [r["sid"] for r in sorted((r for r in want if r["content_type"] == t),
+                                                                           key=lambda r: r["rank"])]
+    assert sum(m["topic"] == "search-heat" for m in msgs) == R.q_heat_score(spark, SF_SMALL).count()
