@@ -100,8 +100,12 @@ def hot_lines(detail_log: DataFrame, play_log: DataFrame, catalog: DataFrame, as
               top_n: int = config.TOP_N) -> DataFrame:
     """K1: browse and play rows of all types; the catalog's type replaces the log's; line form."""
     rows = union_logs(search_rows(detail_log, types, as_of, days), search_rows(play_log, types, as_of, days))
-    typed = join_catalog_type(rows, catalog.where(F.col("content_type").isin(list(types))))
-    rollup = rollup_with_titles(search_counts(typed), catalog, risk_free=False)
+    # Count per (text, sid) before the catalog join: the join sees distinct pairs, not searches.
+    # The per-type sum keeps the (text, sid) partitioning, and sums the rows of a sid listed twice.
+    per_sid = rows.groupBy("search_text", "sid").agg(F.count(F.lit(1)).alias("num"))
+    typed = join_catalog_type(per_sid, catalog.where(F.col("content_type").isin(list(types))))
+    counts = typed.groupBy("search_text", "content_type", "sid").agg(F.sum("num").alias("num"))
+    rollup = rollup_with_titles(counts, catalog, risk_free=False)
     return hot_lines_from_rollup(rollup, as_of, types, top_n)
 
 
