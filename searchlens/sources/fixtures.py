@@ -18,8 +18,19 @@ FIXTURE_SHORT_TYPES = ("small", "standard")
 FIXTURE_ALL_TYPES = ("economy", "large", "medium", "promo", "small", "standard", "sports")
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table. Its schema is inferred once per path and then given
+    explicitly, so later reads plan without a footer-reading job."""
+    path = f"{sf_dir}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def _day_int(ts: Column) -> Column:
