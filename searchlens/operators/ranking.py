@@ -23,9 +23,10 @@ def top_k(df: DataFrame, k: int, order: Sequence[Column | str], group: Sequence[
           rank_col: str = "rank") -> DataFrame:
     """The first ``k`` rows of each group (or of all rows) by ``order``, ranked from 1.
 
-    Without ``group`` the window has no partition: Spark still limits each
-    task to k rows before the single-partition step, so at most
-    k x tasks rows meet in one place.
+    Without ``group`` Spark plans the filter as ``TakeOrderedAndProject``
+    (or a partial ``WindowGroupLimit``): each task keeps its k best rows
+    before the single-partition step, so at most k x tasks rows meet in one
+    place.
     """
     w = Window.partitionBy(*group).orderBy(*_orders(order)) if group else Window.orderBy(*_orders(order))
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
