@@ -61,8 +61,9 @@ def filter_identity(df: DataFrame, user_col: str = "user_id", account_col: str =
 
 
 def present(col: str) -> Column:
+    """Not NULL and not empty; written as ``!= ''`` so the scan can take it as a pushed filter."""
     c = F.col(col)
-    return c.isNotNull() & (F.length(c) > 0)
+    return c.isNotNull() & (c != F.lit(""))
 
 
 def filter_present(df: DataFrame, col: str) -> DataFrame:

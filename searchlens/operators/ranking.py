@@ -32,11 +32,6 @@ def top_k(df: DataFrame, k: int, order: Sequence[Column | str], group: Sequence[
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
 
 
-def rank_all(df: DataFrame, order: Sequence[Column | str], group: Sequence[str], rank_col: str = "rank") -> DataFrame:
-    """F8 within groups: rank every row; no limit."""
-    return df.withColumn(rank_col, F.row_number().over(Window.partitionBy(*group).orderBy(*_orders(order))))
-
-
 def seeded_key(seed: int | str, key: Column | str) -> Column:
     """Repeatable pseudo-random order: ``md5('<seed>:' || key)``, equal in Spark and DuckDB."""
     k = F.col(key) if isinstance(key, str) else key
