@@ -109,6 +109,26 @@ def spellings(readings: Column | str) -> Column:
     return F.when(F.size(r) > 0, product).otherwise(F.array().cast("array<string>"))
 
 
+def spelling_rows(df: DataFrame, readings_col: str = "readings", out: str = "spelling",
+                  max_tokens: int | None = None) -> DataFrame:
+    """H24 as rows: one output row per spelling, built by one ``explode`` per token position.
+
+    Unlike ``spellings`` (one array per title), no row ever holds the whole
+    product: the generators stream rows, so a title whose readings multiply
+    into millions of spellings needs no more memory than one spelling, and
+    nothing is capped. ``max_tokens`` (the longest title, in tokens) is read
+    with one small aggregate when not given. Titles without tokens give no rows.
+    """
+    if max_tokens is None:
+        max_tokens = df.agg(F.max(F.size(readings_col))).first()[0] or 0
+    r = F.col(readings_col)
+    cur = df.where(F.size(r) > 0).withColumn(out, F.lit(""))
+    for i in range(max_tokens):
+        opts = F.when(F.size(r) > i, F.get(r, i)).otherwise(F.array(F.lit("")))
+        cur = cur.select("*", F.explode(opts).alias("_opt")).withColumn(out, F.concat(F.col(out), F.col("_opt"))).drop("_opt")
+    return cur
+
+
 def search_code(readings: Column | str, length: int = config.SEARCH_CODE_LENGTH) -> Column:
     """Initials of the first spelling, at most ``length``; NULL for an empty title.
 

@@ -371,7 +371,7 @@ def _title_readings(spark, d):
 
 
 def q_title_spellings(spark, d):
-    return _title_readings(spark, d).select("sid", F.explode(T.spellings("readings")).alias("spelling"))
+    return T.spelling_rows(_title_readings(spark, d)).select("sid", "spelling")
 
 
 def q_title_search_code(spark, d):

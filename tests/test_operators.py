@@ -188,6 +188,15 @@ def _check_readings(df):
     assert got[4]["sp"] == ["爱 "] and got[4]["code"] == "爱"
 
 
+def test_spelling_rows_match_the_array_form(spark):
+    readings = spark.createDataFrame([("行", ["hang", "xing"]), ("乐", ["le", "yue"])], "ch string, readings array<string>")
+    titles = spark.createDataFrame([(1, "行乐 abc12"), (2, "***"), (3, None), (4, "爱乐")], "k int, title string")
+    r = T.title_readings(titles, readings, row_key=["k"])
+    rows_form = sorted((x["k"], x["spelling"]) for x in T.spelling_rows(r).collect())
+    array_form = sorted((x["k"], s) for x in r.select("k", T.spellings("readings").alias("sp")).collect() for s in x["sp"])
+    assert rows_form == array_form and len(rows_form) == 6
+
+
 def test_clean_title(spark):
     df = spark.createDataFrame([('  "Hello", 世界! 42\t',), ("***",)], "t string")
     got = [r[0] for r in df.select(T.clean_title("t")).collect()]
