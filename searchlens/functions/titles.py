@@ -51,12 +51,13 @@ def readings_table(readings: DataFrame, ch_col: str = "ch", readings_col: str =
     """Normalise a pronunciation table: one row per single CJK character, readings in lower case.
 
     After the filter the table has at most ``CJK_BLOCK_SIZE`` rows whatever
-    its source, which is what makes broadcasting it safe.
+    its source, which is what makes broadcasting it safe. A character listed
+    twice keeps its smallest reading list, so the choice repeats run to run.
     """
     return (readings.where((F.length(ch_col) == 1) & F.col(ch_col).rlike(CJK))
             .select(F.col(ch_col).alias("_tok"),
                     F.transform(readings_col, lambda r: F.lower(r)).alias("_readings"))
-            .dropDuplicates(["_tok"]))
+            .groupBy("_tok").agg(F.min("_readings").alias("_readings")))
 
 
 def _reading_options(tok: Column, readings: Column) -> Column:
