@@ -31,4 +31,4 @@ def vector_columns(df: DataFrame, vec_col: str) -> DataFrame:
     """A one-hot vector as plain columns: its size and the active position (NULL when all zero)."""
     arr = vector_to_array(F.col(vec_col))
     return df.withColumn("vec_size", F.size(arr)).withColumn(
-        "vec_active", F.nullif(F.array_position(arr, F.lit(1.0)), F.lit(0)) - 1)
+        "vec_active", (F.nullif(F.array_position(arr, F.lit(1.0)), F.lit(0)) - 1).cast("int"))
