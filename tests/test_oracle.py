@@ -41,3 +41,13 @@ def test_entry_smoke(spark):
     df = se.entry(spark)
     assert df.columns == ["content_type", "rank", "sid", "search_code", "title", "num"]
     assert df.count() > 0
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_column_types_match_oracle(spark, con, name):
+    df = se.queries()[name](spark, SF_SMALL)
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {ORACLE[name]}").fetchall()}
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == duck_types
