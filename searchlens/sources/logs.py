@@ -37,6 +37,16 @@ def scan_log(
     return df.select(*columns)
 
 
+def read_log_days(spark: SparkSession, source: str, as_of: str | int, days: int, day_col: str = "key_day") -> DataFrame:
+    """A2's reader: the last ``days`` days of a day-partitioned log (a table name or a parquet directory).
+
+    The window is a filter on the partition column, so Spark lists and reads
+    only the matching day directories (``PartitionFilters`` in the plan).
+    """
+    df = spark.read.parquet(source) if "/" in source else spark.table(source)
+    return filter_window(df, as_of, days, day_col=day_col)
+
+
 def read_log_table(spark: SparkSession, table: str) -> DataFrame:
     """A log or fact table by name (Hive or catalog table)."""
     return spark.table(table)

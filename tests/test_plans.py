@@ -62,3 +62,16 @@ def test_preference_profile_shuffles_twice_after_the_join(spark):
 def test_heat_broadcasts_only_type_means(spark):
     text = formatted(R.q_heat_score(spark, SF_SMALL))
     assert "BroadcastHashJoin" in text
+
+
+def test_day_window_prunes_partitions(spark):
+    import os
+    import tempfile
+    from searchlens.sources.logs import read_log_days
+    from searchlens.sources import fixtures as fx
+    path = os.path.join(tempfile.mkdtemp(prefix="days-"), "play")
+    fx.play_log(spark, SF_SMALL).write.partitionBy("key_day").parquet(path)
+    df = read_log_days(spark, path, "20240130", 3)
+    text = formatted(df.select("sid"))
+    assert "PartitionFilters: [isnotnull(key_day" in text and "(key_day#" in text and "> 20240127)" in text
+    assert sorted(r[0] for r in df.select("key_day").distinct().collect()) == [20240128, 20240129, 20240130]
