@@ -34,10 +34,19 @@ def main() -> None:
     names = [n for n in (os.environ.get("BENCH_QUERIES", "").split(",")) if n] or list(QUERIES)
     spark = local_session(cores=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)))
 
+    plans: dict[str, dict[str, int]] = {}
+
     def run(name: str) -> float:
         t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        return time.perf_counter() - t0
+        df = QUERIES[name](spark, sf_dir)
+        df.write.format("noop").mode("overwrite").save()
+        elapsed = time.perf_counter() - t0
+        # Static plan shape (before AQE re-plans): shuffles and broadcasts.
+        tree = df._jdf.queryExecution().executedPlan().toString()
+        shuffle = r"(?<!Broadcast)Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobinPartitioning)"
+        plans[name] = {"shuffles": len(re.findall(shuffle, tree)),
+                       "broadcasts": tree.count("BroadcastExchange")}
+        return elapsed
 
     # Untimed warm-up: class loading and JIT of the aggregation, join and shuffle paths.
     for name in ("search_counts", "preference_share"):
@@ -52,6 +61,7 @@ def main() -> None:
         "headline_seconds": round(sum(timings[n] for n in HEADLINE if n in timings), 3),
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
+        "plans": {n: plans[n] for n in names},
     }
     print(json.dumps(out))
     spark.stop()
