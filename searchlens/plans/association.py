@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from ..operators.aggregates import play_counts, preference_shares, profile_documents
+from ..operators.aggregates import preference_shares, profile_documents
 from ..operators.filters import filter_catalog, present, valid_identity
 from ..operators.joins import join_catalog_type
 from ..operators.ranking import top_k
@@ -49,7 +49,10 @@ def type_play_counts(plays: DataFrame, catalog: DataFrame, key: str = "sid") ->
     """
     per_sid = plays.groupBy("sid").agg(F.count(F.lit(1)).alias("n"))
     joined = per_sid.join(catalog.select("sid", "id", "content_type"), "sid")
-    return joined.groupBy("content_type", key).agg(F.sum("n").alias("n"))
+    # The catalog id is its primary key (one sid per id), so grouping by sid as
+    # well changes nothing but lets the sum reuse the per-sid partitioning.
+    keys = ["content_type", "sid"] + ([key] if key != "sid" else [])
+    return joined.groupBy(*keys).agg(F.sum("n").alias("n")).select("content_type", key, "n")
 
 
 def top_videos(counts: DataFrame, key: str = "sid", top_n: int = config.TOP_N) -> DataFrame:
