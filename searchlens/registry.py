@@ -22,7 +22,6 @@ from .functions.sql import register_sql_functions
 from .operators import aggregates as A
 from .operators import filters as C
 from .operators.features import encode_categories, index_categories, vector_columns
-from .operators.ranking import top_k
 from .operators.sets import union_logs
 from .plans import association as assoc
 from .plans import editorial as ed

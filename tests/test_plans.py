@@ -36,7 +36,6 @@ def test_scan_prunes_columns(spark):
 
 
 def test_pushed_filters_reach_parquet(spark):
-    from pyspark.sql import functions as F
     from searchlens.operators.filters import filter_valid_play
     events = spark.read.parquet(f"{SF_SMALL}/events.parquet").withColumnRenamed("value", "duration") \
         .withColumnRenamed("event_type", "event")

@@ -3,7 +3,6 @@
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 
 from searchlens.streaming.mirror import MESSAGE_SCHEMA, mirror_messages, start_topic_mirror, topic_pattern
 
