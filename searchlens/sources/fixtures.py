@@ -95,7 +95,10 @@ def play_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def search_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search/browse log from ``lineitem``: NULL users, NULL and empty search text."""
     l = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_shipdate")
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    # Orders is a fact table that grows with the data, so it is never broadcast:
+    # a sort-merge join on the order key, which also spreads the per-row work
+    # over the shuffle's tasks. Part is catalog-sized; AQE picks its join.
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority").hint("merge")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
     j = l.join(o, o["o_orderkey"] == l["l_orderkey"]).join(p, p["p_partkey"] == l["l_partkey"])
     line = F.col("l_linenumber")
