@@ -32,12 +32,13 @@ def topic_pattern(topics: Iterable[str] | str) -> str:
 
 
 def mirror_messages(messages: DataFrame, topics: Iterable[str] | str) -> DataFrame:
-    """The mirror's per-row rule: keep messages of the listed topics, as strings.
+    """The mirror's per-row rule: keep messages of the listed topics, key and value untouched.
 
-    The same function runs on a batch frame and on a stream.
+    Key and value keep their source type (bytes from Kafka, strings from
+    files), so binary payloads are copied as they are. The same function
+    runs on a batch frame and on a stream.
     """
-    return (messages.where(F.col("topic").rlike(topic_pattern(topics)))
-            .select(F.col("topic").cast("string"), F.col("key").cast("string"), F.col("value").cast("string")))
+    return messages.where(F.col("topic").rlike(topic_pattern(topics))).select("topic", "key", "value")
 
 
 def read_message_stream(spark: SparkSession, fmt: str, topics: Iterable[str] | str,
