@@ -71,9 +71,14 @@ def cut_lineage(df: DataFrame, allow_local: bool = False) -> DataFrame:
 
 
 def cluster_conf(input_bytes: int, shuffle_fraction: float = 0.1, scan_split_bytes: int = 1 << 30,
-                 shuffle_partition_bytes: int = 512 << 20, broadcast_bytes: int = 64 << 20) -> dict[str, str]:
+                 shuffle_partition_bytes: int | None = None, broadcast_bytes: int = 64 << 20,
+                 executor_memory_bytes: int | None = None, executor_cores: int = 4) -> dict[str, str]:
     """Settings to pass to ``spark-submit`` for a job that reads ``input_bytes``.
 
+    Shuffle partitions are sized so one fits in a task's share of execution
+    memory (half of ``0.6 x executor memory / cores``, leaving room for hash
+    tables and sort buffers), at most 512 MiB; without an executor size, 512 MiB.
+
     - Scan splits of ``scan_split_bytes`` (1 GiB): 100 TB gives ~100k scan
       tasks, so the driver's task and map-status bookkeeping stays bounded.
     - Shuffle partitions sized for the bytes that actually cross the shuffle
@@ -83,6 +88,10 @@ def cluster_conf(input_bytes: int, shuffle_fraction: float = 0.1, scan_split_byt
     - Broadcast threshold (static and AQE) of 64 MiB: catalog-size tables
       are broadcast, anything larger is sort-merge joined.
     """
+    if shuffle_partition_bytes is None:
+        shuffle_partition_bytes = 512 << 20
+        if executor_memory_bytes:
+            shuffle_partition_bytes = min(shuffle_partition_bytes, int(executor_memory_bytes * 0.6 / executor_cores / 2))
     shuffle_bytes = int(input_bytes * shuffle_fraction)
     partitions = max(200, -(-shuffle_bytes // shuffle_partition_bytes))
     return {

@@ -275,3 +275,6 @@ def test_cluster_conf_scales_partitions():
     assert int(big["spark.sql.shuffle.partitions"]) == 18627  # 10 TB shuffled / 512 MiB
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert int(cluster_conf(10**9)["spark.sql.shuffle.partitions"]) == 200
+    small = cluster_conf(100 * 10**12, executor_memory_bytes=2 << 30, executor_cores=2)  # 2 GiB, 2 cores
+    assert int(small["spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"]) == int((2 << 30) * 0.6 / 2 / 2)
+    assert int(small["spark.sql.shuffle.partitions"]) > int(big["spark.sql.shuffle.partitions"])
