@@ -87,6 +87,11 @@ def cluster_conf(input_bytes: int, shuffle_fraction: float = 0.1, scan_split_byt
       least 200; AQE then coalesces small ones and splits skewed ones.
     - Broadcast threshold (static and AQE) of 64 MiB: catalog-size tables
       are broadcast, anything larger is sort-merge joined.
+    - Executor loss: an external shuffle service keeps map output readable
+      when an executor dies, and decommissioning migrates shuffle and cached
+      blocks off executors that are being taken away, so lost executors cost
+      a retry of their running tasks rather than a rerun of earlier stages.
+    - zstd for shuffle and spill blocks: fewer bytes over the network at scale.
     """
     if shuffle_partition_bytes is None:
         shuffle_partition_bytes = 512 << 20
@@ -103,4 +108,10 @@ def cluster_conf(input_bytes: int, shuffle_fraction: float = 0.1, scan_split_byt
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(shuffle_partition_bytes),
         "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.shuffle.service.enabled": "true",
+        "spark.decommission.enabled": "true",
+        "spark.storage.decommission.enabled": "true",
+        "spark.storage.decommission.shuffleBlocks.enabled": "true",
+        "spark.storage.decommission.rddBlocks.enabled": "true",
+        "spark.io.compression.codec": "zstd",
     }
