@@ -45,8 +45,8 @@ def path_code_search(path: Column | str) -> Column:
 
 
 def to_int_id(code: Column | str) -> Column:
-    """String id to int; NULL when it is not an integer."""
-    return _c(code).try_cast("int")
+    """String id to a number (bigint); NULL when it is not an integer."""
+    return _c(code).try_cast("bigint")
 
 
 def joined_line(*fields: Column | str, sep: str = "||") -> Column:

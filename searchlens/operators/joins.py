@@ -34,9 +34,10 @@ def join_scores_by_id(scores: DataFrame, catalog: DataFrame, code_col: str = "si
     """D4 with H17: numeric id of the score's code joined to the catalog id.
 
     Codes that are not integers do not join (the original job fails on them).
+    Both sides are compared as bigint, so no catalog id can overflow a cast.
     """
-    keyed = scores.withColumn(id_col, F.col(code_col).try_cast("int"))
-    return keyed.join(catalog.withColumn(id_col, F.col(id_col).cast("int")), id_col)
+    keyed = scores.withColumn(id_col, F.col(code_col).try_cast("bigint"))
+    return keyed.join(catalog.withColumn(id_col, F.col(id_col).cast("bigint")), id_col)
 
 
 def join_type_means(counts: DataFrame, means: DataFrame, type_col: str = "content_type") -> DataFrame:

@@ -263,7 +263,7 @@ Q["voice_scores"] = sql(["score_matrix", "catalog"], f"""SELECT c.sid, c.title,
 FROM (SELECT sid_or_subject_code, sum(score) AS score FROM score_matrix
       WHERE partition_tag = {VOICE_DAY} AND content_type IN {_in(LONG)} GROUP BY sid_or_subject_code) s
 JOIN (SELECT id, sid, title, content_type FROM catalog WHERE content_type IN {_in(LONG)}) c
-  ON c.id = TRY_CAST(s.sid_or_subject_code AS INTEGER)""")
+  ON c.id = TRY_CAST(s.sid_or_subject_code AS BIGINT)""")
 
 _EDITORIAL = """SELECT parts[1] AS sid, parts[2] AS content_type, parts[3] AS title, parts[4] AS search_code
 FROM (SELECT string_split(value, chr(9)) AS parts FROM editorial_lines) WHERE len(parts) >= 4"""
