@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import to_int_id
+
 
 def join_catalog_type(plays: DataFrame, catalog: DataFrame, sid_col: str = "sid",
                       type_col: str = "content_type", catalog_sid_col: str = "sid") -> DataFrame:
@@ -36,7 +38,7 @@ def join_scores_by_id(scores: DataFrame, catalog: DataFrame, code_col: str = "si
     Codes that are not integers do not join (the original job fails on them).
     Both sides are compared as bigint, so no catalog id can overflow a cast.
     """
-    keyed = scores.withColumn(id_col, F.col(code_col).try_cast("bigint"))
+    keyed = scores.withColumn(id_col, to_int_id(code_col))
     return keyed.join(catalog.withColumn(id_col, F.col(id_col).cast("bigint")), id_col)
 
 
