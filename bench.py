@@ -32,11 +32,16 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = [n for n in (os.environ.get("BENCH_QUERIES", "").split(",")) if n] or list(QUERIES)
-    spark = local_session(cores=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)))
+    # BENCH_EVENTLOG_DIR: write Spark's event log there (stage and task times, without the UI).
+    log_dir = os.environ.get("BENCH_EVENTLOG_DIR")
+    extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir} if log_dir else None
+    spark = local_session(cores=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)),
+                          extra_conf=extra)
 
     plans: dict[str, dict[str, int]] = {}
 
     def run(name: str) -> float:
+        spark.sparkContext.setJobGroup(name, name)
         t0 = time.perf_counter()
         df = QUERIES[name](spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()

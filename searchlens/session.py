@@ -21,7 +21,8 @@ JOB_CONF = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "searchlens") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "searchlens",
+                  extra_conf: dict[str, str] | None = None) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -33,7 +34,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         # suits these short, allocation-heavy tasks better than G1.
         .config("spark.driver.extraJavaOptions", os.environ.get("SEARCHLENS_JAVA_OPTS", "-XX:+UseParallelGC"))
     )
-    for k, v in JOB_CONF.items():
+    for k, v in {**JOB_CONF, **(extra_conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
