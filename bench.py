@@ -1,7 +1,7 @@
 """Benchmark: run the registered queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is executed in full through the ``noop`` sink (no collect), after
-two untimed warm-up queries. Prints one JSON line:
+an untimed warm-up pass of every query over the sf0.01 tables. Prints one JSON line:
 {"metric": "total_query_seconds", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 """
 
@@ -53,9 +53,14 @@ def main() -> None:
                        "broadcasts": tree.count("BroadcastExchange")}
         return elapsed
 
-    # Untimed warm-up: class loading and JIT of the aggregation, join and shuffle paths.
-    for name in ("search_counts", "preference_share"):
-        run(name)
+    # Untimed warm-up: every query once on the smaller tables (other data, so
+    # nothing is cached), so the timed runs measure steady-state execution
+    # rather than class loading and JIT compilation of each code shape.
+    warm_dir = os.environ.get("BENCH_WARMUP_SF_DIR", os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.01"))
+    if not os.path.isdir(warm_dir) or os.path.abspath(warm_dir) == os.path.abspath(sf_dir):
+        warm_dir = sf_dir
+    for name in names:
+        QUERIES[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
     timings = {n: round(run(n), 3) for n in names}
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
@@ -66,6 +71,7 @@ def main() -> None:
         "headline_seconds": round(sum(timings[n] for n in HEADLINE if n in timings), 3),
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
+        "warmup": f"each query once, untimed, on {warm_dir}",
         "plans": {n: plans[n] for n in names},
     }
     print(json.dumps(out))
