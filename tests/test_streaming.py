@@ -30,3 +30,13 @@ def test_batch_rule_and_regex_whitelist(spark):
     assert sorted(r["key"] for r in mirror_messages(df, ["a.b", "c"]).collect()) == ["1", "3"]
     assert sorted(r["key"] for r in mirror_messages(df, "a.b|c").collect()) == ["1", "2", "3"]
     assert topic_pattern(["x"]) == "^(x)$"
+
+
+def test_cli_mirror_available_now(spark):
+    from searchlens import cli
+    scratch = tempfile.mkdtemp(prefix="cli-mirror-")
+    src, sink, ckpt = (os.path.join(scratch, x) for x in ("src", "sink", "ckpt"))
+    spark.createDataFrame([("a", "1", "x"), ("b", "2", "y"), ("c", "3", "z")], MESSAGE_SCHEMA).write.json(src)
+    cli.run(["mirror", "--topics", "a,c", "--checkpoint-location", ckpt, "--source-format", "json", "--source-path", src,
+             "--sink-format", "json", "--sink-path", sink, "--available-now"], spark)
+    assert sorted(r["key"] for r in spark.read.schema(MESSAGE_SCHEMA).json(sink).collect()) == ["1", "3"]
