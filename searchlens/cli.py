@@ -61,7 +61,9 @@ def build_parser() -> argparse.ArgumentParser:
         return sp
 
     job("hot-lines", "detail-log", "play-log", "catalog")
-    job("hot-lines-split", "detail-log", "play-log", "catalog")
+    hs = job("hot-lines-split", "detail-log", "play-log", "catalog")
+    hs.add_argument("--long-types", help="comma-separated types read from the browse log")
+    hs.add_argument("--short-types", help="comma-separated types read from the play log")
     h = job("hot", "play-log", "catalog")
     h.add_argument("--all-searches", action="store_true", help="count every search, not unique searchers (K3)")
     h.add_argument("--all-regions", action="store_true", help="no region block (K3)")
@@ -107,7 +109,12 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
     days = {"days": args.days} if getattr(args, "days", None) else {}
     if args.job in ("hot-lines", "hot-lines-split"):
         run_job = jobs.run_hot_lines if args.job == "hot-lines" else jobs.run_hot_lines_split
-        extra = {"types": _types(args.types, config.ALL_VIDEO_TYPES)} if args.job == "hot-lines" else {}
+        if args.job == "hot-lines":
+            extra = {"types": _types(args.types, config.ALL_VIDEO_TYPES)}
+        else:
+            extra = {"long_types": _types(args.long_types, config.LONG_VIDEO_TYPES),
+                     "short_types": _types(args.short_types, config.SHORT_VIDEO_TYPES),
+                     "line_types": _types(args.types, config.ALL_VIDEO_TYPES)}
         run_job(sink, _read(spark, args.detail_log), _read(spark, args.play_log), _read(spark, args.catalog),
                 args.as_of, **days, **topic, **extra)
     elif args.job == "hot":
@@ -119,7 +126,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
     elif args.job == "association":
         jobs.run_association(sink, _read(spark, args.play_log), _read(spark, args.catalog), args.as_of, **days,
                              key=args.key, app_version_flag=args.app_version_flag, with_profile=not args.no_profile,
-                             types=_types(args.types, config.ALL_VIDEO_TYPES))
+                             top_topic=args.topic, types=_types(args.types, config.ALL_VIDEO_TYPES))
     elif args.job == "heat":
         jobs.run_heat(sink, _read(spark, args.play_log), args.as_of, **days, **topic,
                       types=_types(args.types, config.LONG_VIDEO_TYPES))

@@ -45,9 +45,13 @@ def run_hot_lines(sink: Sink, detail_log: DataFrame, play_log: DataFrame, catalo
 
 
 def run_hot_lines_split(sink: Sink, detail_log: DataFrame, play_log: DataFrame, catalog: DataFrame, as_of: str,
-                        days: int = config.HOT_DAYS, topic: str = config.TOPIC_HOT_LINES_SPLIT) -> None:
+                        days: int = config.HOT_DAYS, topic: str = config.TOPIC_HOT_LINES_SPLIT,
+                        long_types: Sequence[str] = config.LONG_VIDEO_TYPES,
+                        short_types: Sequence[str] = config.SHORT_VIDEO_TYPES,
+                        line_types: Sequence[str] = config.ALL_VIDEO_TYPES) -> None:
     """K4: line-form hot list, browse rows of long types and play rows of short types."""
-    sink.write(hot.hot_lines_payload(hot.hot_lines_split_types(detail_log, play_log, catalog, as_of, days), topic))
+    lines = hot.hot_lines_split_types(detail_log, play_log, catalog, as_of, days, long_types, short_types, line_types)
+    sink.write(hot.hot_lines_payload(lines, topic))
 
 
 def run_hot(sink: Sink, play_log: DataFrame, catalog: DataFrame, as_of: str, days: int = config.HOT_DAYS,
@@ -67,12 +71,17 @@ def run_editorial(sink: Sink, lines: DataFrame, seed: int, topic: str = config.T
 
 def run_association(sink: Sink, play_log: DataFrame, catalog: DataFrame, as_of: str, days: int = config.ASSOC_DAYS,
                     key: str = "id", app_version_flag: int | None = None, with_profile: bool = True,
-                    top_topic: str = config.TOPIC_TOP_VIDEOS_BY_ID, profile_topic: str = config.TOPIC_USER_TYPES,
+                    top_topic: str | None = None, profile_topic: str = config.TOPIC_USER_TYPES,
                     types: Sequence[str] = config.ALL_VIDEO_TYPES) -> None:
     """K7 (``key="id"``, profile), K8 (``key="sid"``), K9 (``key="sid"``, ``app_version_flag=0``).
 
-    The filtered plays feed both outputs, so they are checkpointed once.
+    The filtered plays feed both outputs, so they are checkpointed once. The
+    top-video topic defaults to the variant's own (by id, older versions,
+    all versions).
     """
+    if top_topic is None:
+        top_topic = (config.TOPIC_TOP_VIDEOS_BY_ID if key == "id" else
+                     config.TOPIC_TOP_VIDEOS if app_version_flag is not None else config.TOPIC_TOP_VIDEOS_ALL_VERSIONS)
     plays = cut_lineage(assoc.assoc_plays(play_log, as_of, days, types))
     cat = assoc.playable_catalog(catalog, types, app_version_flag=app_version_flag)
     top = assoc.top_videos(assoc.type_play_counts(plays, cat, key), key)

@@ -57,3 +57,38 @@ def test_cli_runs_jobs_from_paths(spark):
             assert [e["sid"] for e in items] == [r["sid"] for r in sorted((r for r in want if r["content_type"] == t),
                                                                            key=lambda r: r["rank"])]
     assert sum(m["topic"] == "search-heat" for m in msgs) == R.q_heat_score(spark, SF_SMALL).count()
+
+
+def test_cli_every_job_writes_messages(spark):
+    from searchlens import cli
+    out = tempfile.mkdtemp(prefix="cli-all-")
+    paths = {n: os.path.join(out, n) for n in ("play", "detail", "catalog", "views", "scores", "lines", "msgs")}
+    log = fx.search_log(spark, SF_SMALL)
+    log.where("log_type = 'play'").write.parquet(paths["play"])
+    log.where("log_type = 'detail'").write.parquet(paths["detail"])
+    fx.catalog(spark, SF_SMALL).write.parquet(paths["catalog"])
+    fx.play_log(spark, SF_SMALL).write.parquet(paths["views"])
+    fx.score_matrix(spark, SF_SMALL).write.parquet(paths["scores"])
+    fx.editorial_lines(spark, SF_SMALL).write.text(paths["lines"])
+    sink = ["--sink-format", "json", "--sink-path", paths["msgs"]]
+    search = ["--as-of", R.SEARCH_AS_OF, "--days", str(R.SEARCH_DAYS)]
+    plays = ["--as-of", R.PLAY_AS_OF, "--days", str(R.PLAY_DAYS)]
+    cli.run(["hot-lines", "--detail-log", paths["detail"], "--play-log", paths["play"], "--catalog", paths["catalog"],
+             *search, "--types", ",".join(R.ALL), *sink], spark)
+    cli.run(["hot-lines-split", "--detail-log", paths["detail"], "--play-log", paths["play"], "--catalog", paths["catalog"],
+             *search, "--long-types", ",".join(R.LONG), "--short-types", ",".join(R.SHORT), "--types", ",".join(R.ALL),
+             *sink], spark)
+    cli.run(["editorial", "--lines", paths["lines"], "--on-short", "drop", *sink], spark)
+    cli.run(["association", "--play-log", paths["views"], "--catalog", paths["catalog"], *plays, "--key", "sid",
+             "--app-version-flag", "0", "--types", ",".join(R.ALL), *sink], spark)
+    cli.run(["voice", "--score-matrix", paths["scores"], "--catalog", paths["catalog"], "--as-of", R.VOICE_AS_OF,
+             "--types", ",".join(R.LONG), *sink], spark)
+    by_topic = {}
+    for m in _read(spark, paths["msgs"]):
+        by_topic[m["topic"]] = by_topic.get(m["topic"], 0) + 1
+    assert by_topic["search-hot-lines"] == R.q_hot_lines(spark, SF_SMALL).count()
+    assert by_topic["search-hot-editorial"] == 1
+    assert by_topic["search-top-videos"] == 1  # K9: sid key, older versions only
+    assert by_topic["search-user-content-types"] == R.q_pref_payload(spark, SF_SMALL).count()
+    assert by_topic["search-voice-scores"] == R.q_voice_scores(spark, SF_SMALL).count()
+    assert by_topic["search-hot-lines-split"] == R.q_hot_lines_split_types(spark, SF_SMALL).count()
