@@ -4,7 +4,7 @@ Plan of every variant: log scan with pushed filters -> count per
 (text, type, sid) with map-side combine -> join titles -> per-video rollup
 (argmax text, sum) with map-side combine -> per-type top-k as a
 ``WindowGroupLimit``. The rollup has one row per video; several outputs of
-one job read it, so ``run_*`` cuts its lineage once with a checkpoint.
+one job read it, so ``plans.jobs.run_hot`` cuts its lineage once with a checkpoint.
 """
 
 from __future__ import annotations
