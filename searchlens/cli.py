@@ -58,6 +58,7 @@ def build_parser() -> argparse.ArgumentParser:
         sp.add_argument("--sink-format", default="kafka")
         sp.add_argument("--sink-path")
         sp.add_argument("--sink-option", action="append")
+        sp.add_argument("--sink-mode", default="append", choices=("append", "overwrite"))
         return sp
 
     job("hot-lines", "detail-log", "play-log", "catalog")
@@ -104,7 +105,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> Non
                                _options(args.sink_option), trigger)
         q.awaitTermination()
         return
-    sink = jobs.Sink(args.sink_format, args.sink_path, _options(args.sink_option))
+    sink = jobs.Sink(args.sink_format, args.sink_path, _options(args.sink_option), args.sink_mode)
     topic = {"topic": args.topic} if args.topic else {}
     days = {"days": args.days} if getattr(args, "days", None) else {}
     if args.job in ("hot-lines", "hot-lines-split"):

@@ -28,13 +28,18 @@ from . import hot
 
 @dataclass(frozen=True)
 class Sink:
-    """Where payloads go: Kafka (``fmt="kafka"`` plus options) or files under ``path``."""
+    """Where payloads go: Kafka (``fmt="kafka"`` plus options) or files under ``path``.
+
+    File sinks append by default; ``mode="overwrite"`` makes a rerun of the
+    same day's job replace its files instead of adding a second copy.
+    """
     fmt: str = "kafka"
     path: str | None = None
     options: Mapping[str, str] = field(default_factory=dict)
+    mode: str = "append"
 
     def write(self, messages: DataFrame) -> None:
-        write_messages(messages, self.fmt, self.path, self.options)
+        write_messages(messages, self.fmt, self.path, self.options, self.mode)
 
 
 def run_hot_lines(sink: Sink, detail_log: DataFrame, play_log: DataFrame, catalog: DataFrame, as_of: str,
