@@ -74,3 +74,18 @@ def test_day_window_prunes_partitions(spark):
     text = formatted(df.select("sid"))
     assert "PartitionFilters: [isnotnull(key_day" in text and "(key_day#" in text and "> 20240127)" in text
     assert sorted(r[0] for r in df.select("key_day").distinct().collect()) == [20240128, 20240129, 20240130]
+
+
+# Static shuffle counts of the jobs' plans (search-log queries include the stand-in view's
+# two sort-merge-join exchanges per read). A change that adds an exchange must update this.
+SHUFFLES = {"assoc_top_videos": 2, "assoc_top_videos_by_id": 2, "preference_profile": 2, "pref_payload": 2,
+            "heat_score": 3, "hot_by_type": 6, "hot_total": 5, "hot_lines": 7, "unique_searchers": 4,
+            "video_rollup": 4, "voice_scores": 1, "kids_play_rank": 4, "editorial_sample": 1}
+
+
+def test_shuffle_counts_do_not_grow(spark):
+    import re
+    pattern = r"(?<!Broadcast)Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobinPartitioning)"
+    got = {k: len(re.findall(pattern, R.QUERIES[k](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()))
+           for k in SHUFFLES}
+    assert got == SHUFFLES
