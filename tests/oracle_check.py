@@ -18,6 +18,8 @@ import duckdb  # noqa: E402
 
 from searchlens.session import local_session  # noqa: E402
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
@@ -62,10 +64,15 @@ def compare(spark, con, sf_dir, name, fn, sql):
     res = con.execute(sql)
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
-    ok = sorted(cols) == sorted(ocols) and len(rows) == len(orows) and value_hash(cols, rows) == value_hash(ocols, orows)
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    types_ok = {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == duck_types
+    ok = (sorted(cols) == sorted(ocols) and len(rows) == len(orows) and types_ok
+          and value_hash(cols, rows) == value_hash(ocols, orows))
     msg = f"{name:32s} rows={len(rows):7d}/{len(orows):7d} spark={t1 - t0:6.2f}s {'OK' if ok else 'MISMATCH'}"
     if not ok and sorted(cols) != sorted(ocols):
         msg += f" cols {cols} vs {ocols}"
+    if not types_ok:
+        msg += f" types {df.dtypes} vs {duck_types}"
     return msg, ok
 
 
