@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as se
 
 from .conftest import SF_SMALL
-from .oracle_check import TABLES, value_hash
+from .oracle_check import SPARK_TO_DUCK, TABLES, value_hash
 
 ORACLE = se.oracle_sql()
 
@@ -43,8 +43,6 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
-
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_column_types_match_oracle(spark, con, name):
