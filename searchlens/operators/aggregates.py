@@ -107,10 +107,13 @@ def preference_shares(
                .withColumn("band", F.explode(band_names(hour_col, bands, all_time, is_str)))
                .groupBy(user_col, account_col, "band", type_col)
                .agg(F.sum("n").alias("n")))
-    w = Window.partitionBy(user_col, account_col, "band")
+    # One ordering for both expressions (the sum over the whole frame), so a
+    # single Window operator over a single sort computes share and position.
+    w = Window.partitionBy(user_col, account_col, "band").orderBy(F.desc("n"), F.asc(type_col))
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return (by_band
-            .withColumn("score", F.col("n") / F.sum("n").over(w))
-            .withColumn("position", F.row_number().over(w.orderBy(F.desc("n"), F.asc(type_col)))))
+            .withColumn("score", F.col("n") / F.sum("n").over(whole))
+            .withColumn("position", F.row_number().over(w)))
 
 
 def profile_documents(
