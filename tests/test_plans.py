@@ -89,3 +89,18 @@ def test_shuffle_counts_do_not_grow(spark):
     got = {k: len(re.findall(pattern, R.QUERIES[k](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()))
            for k in SHUFFLES}
     assert got == SHUFFLES
+
+
+def test_score_matrix_day_prunes_partitions(spark):
+    import os
+    import tempfile
+    from searchlens.sources.catalog import scan_score_matrix
+    from searchlens.sources import fixtures as fx
+    path = os.path.join(tempfile.mkdtemp(prefix="matrix-"), "scores")
+    fx.score_matrix(spark, SF_SMALL).write.partitionBy("partition_tag").parquet(path)
+    day = scan_score_matrix(path, 20240130, spark=spark)
+    text = formatted(day.select("sid_or_subject_code", "score"))
+    assert "PartitionFilters: [isnotnull(partition_tag" in text and "= 20240130)" in text
+    assert [r[0] for r in day.select("partition_tag").distinct().collect()] == [20240130]
+    want = fx.score_matrix(spark, SF_SMALL).where("partition_tag = 20240130").count()
+    assert day.count() == want > 0
