@@ -278,3 +278,17 @@ def test_cluster_conf_scales_partitions():
     small = cluster_conf(100 * 10**12, executor_memory_bytes=2 << 30, executor_cores=2)  # 2 GiB, 2 cores
     assert int(small["spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"]) == int((2 << 30) * 0.6 / 2 / 2)
     assert int(small["spark.sql.shuffle.partitions"]) > int(big["spark.sql.shuffle.partitions"])
+
+
+def test_scan_log_and_read_catalog(spark):
+    from searchlens.sources.catalog import read_catalog
+    from searchlens.sources.logs import scan_log
+    log = spark.createDataFrame([("u1", "s1", 20240120, 5), ("u2", "s2", 20240110, 6), ("u3", "s3", 20240121, 7)],
+                                "userid string, videosid string, key_day int, key_hour int")
+    out = scan_log(log, {"user_id": "userid", "sid": "videosid", "time": F.lpad(F.col("key_hour").cast("string"), 2, "0")},
+                   where=F.col("videosid") != "s3", as_of="20240121", days=3)
+    assert [tuple(r) for r in out.collect()] == [("u1", "s1", "05")]
+    assert out.columns == ["user_id", "sid", "time"]
+    cat = spark.createDataFrame([(1, "a", "tv"), (2, "b", "movie")], "id int, sid string, content_type string")
+    got = read_catalog(cat, {"sid_mysql": "sid", "type": "content_type"}, F.col("content_type") == "tv")
+    assert [tuple(r) for r in got.collect()] == [("a", "tv")] and got.columns == ["sid_mysql", "type"]
