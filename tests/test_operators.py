@@ -292,3 +292,42 @@ def test_scan_log_and_read_catalog(spark):
     cat = spark.createDataFrame([(1, "a", "tv"), (2, "b", "movie")], "id int, sid string, content_type string")
     got = read_catalog(cat, {"sid_mysql": "sid", "type": "content_type"}, F.col("content_type") == "tv")
     assert [tuple(r) for r in got.collect()] == [("a", "tv")] and got.columns == ["sid_mysql", "type"]
+
+
+class _FakeJdbcReader:
+    """Records what read_catalog_jdbc asks of a JDBC reader (no database involved)."""
+
+    def __init__(self, log):
+        self.log, self.opts = log, {}
+
+    def option(self, k, v):
+        self.opts[k] = v
+        return self
+
+    def load(self):
+        self.log.append(dict(self.opts))
+        log = self.log
+
+        class _Frame:
+            def first(self):
+                return (3, 41)
+
+            def select(self, *cols):
+                log.append(("select", cols))
+                return self
+        return _Frame()
+
+
+def test_read_catalog_jdbc_options():
+    from types import SimpleNamespace
+    from searchlens.sources.catalog import read_catalog_jdbc
+    log = []
+    spark = SimpleNamespace(read=SimpleNamespace(format=lambda fmt: _FakeJdbcReader(log) if fmt == "jdbc" else None))
+    read_catalog_jdbc(spark, "jdbc:db://host/cms", "basecontent", ["sid", "content_type"],
+                      condition="type = 1 AND status = 1", properties={"user": "u"})
+    bounds_q, main_q, select = log
+    assert bounds_q["dbtable"] == "(SELECT min(id) lo, max(id) hi FROM basecontent WHERE type = 1 AND status = 1) b"
+    assert main_q["dbtable"] == "(SELECT sid, content_type, id FROM basecontent WHERE type = 1 AND status = 1) catalog_rows"
+    assert (main_q["partitionColumn"], main_q["lowerBound"], main_q["upperBound"], main_q["numPartitions"]) == ("id", "3", "42", "5")
+    assert main_q["user"] == "u" and main_q["url"] == "jdbc:db://host/cms"
+    assert select == ("select", ("sid", "content_type"))
