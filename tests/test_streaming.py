@@ -40,3 +40,32 @@ def test_cli_mirror_available_now(spark):
     cli.run(["mirror", "--topics", "a,c", "--checkpoint-location", ckpt, "--source-format", "json", "--source-path", src,
              "--sink-format", "json", "--sink-path", sink, "--available-now"], spark)
     assert sorted(r["key"] for r in spark.read.schema(MESSAGE_SCHEMA).json(sink).collect()) == ["1", "3"]
+
+
+class _Recorder:
+    """Stand-in for a reader or writer: records format, options and calls."""
+
+    def __init__(self):
+        self.calls = []
+
+    def __getattr__(self, name):
+        def call(*args, **kwargs):
+            self.calls.append((name, args))
+            return self
+        return call
+
+
+def test_kafka_wiring_without_a_broker():
+    from types import SimpleNamespace
+    from searchlens.sinks.messages import write_messages
+    from searchlens.streaming.mirror import read_message_stream
+    source = _Recorder()
+    spark = SimpleNamespace(readStream=source)
+    read_message_stream(spark, "kafka", ["play-log", "browse.log"], options={"kafka.bootstrap.servers": "b:9092"})
+    assert ("format", ("kafka",)) in source.calls
+    assert ("option", ("subscribePattern", "^(play\\-log|browse\\.log)$")) in source.calls
+    assert ("option", ("kafka.bootstrap.servers", "b:9092")) in source.calls and ("load", ()) in source.calls
+    writer = _Recorder()
+    write_messages(SimpleNamespace(write=writer), "kafka", options={"kafka.bootstrap.servers": "b:9092"})
+    assert ("format", ("kafka",)) in writer.calls and ("save", ()) in writer.calls
+    assert not any(name == "partitionBy" for name, _ in writer.calls)
