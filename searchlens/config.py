@@ -38,7 +38,7 @@ MAX_PLAY_SECONDS = 7200
 VALID_PLAY_EVENTS = ("userexit", "selfend")
 # A user id is valid when it has this length.
 USER_ID_LENGTH = 32
-# Upper bound of the CJK range treated as Chinese text (U+4E00 to U+9FA5).
+# Character range treated as Chinese text (U+4E00 to U+9FA5), as a regex class body.
 CJK_CLASS = "一-龥"
 # English month abbreviations of access-log timestamps, January first.
 MONTH_ABBREVIATIONS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
