@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from .. import config
 from ..operators.filters import filter_window
 
 
@@ -105,11 +106,12 @@ def path_search_preset(types: Sequence[str], home_types: Sequence[str]) -> tuple
             [f"{code} AS search_text", "content_type", "sid", "1 AS num"])
 
 
-def view_preset(types: Sequence[str], with_event: bool = True, min_seconds: int = 300,
-                max_seconds: int = 7200) -> tuple[list[str], str, list[str]]:
+def view_preset(types: Sequence[str], with_event: bool = True, min_seconds: int = config.MIN_PLAY_SECONDS,
+                max_seconds: int = config.MAX_PLAY_SECONDS,
+                events: Sequence[str] = config.VALID_PLAY_EVENTS) -> tuple[list[str], str, list[str]]:
     """Valid views for the heat job (C6, or C7 without the event test)."""
     fields = ["sid", "content_type", "duration"] + (["event"] if with_event else [])
     cond = f"duration IS NOT NULL AND duration < {max_seconds} AND duration > {min_seconds} AND content_type IN {_in_list(types)}"
     if with_event:
-        cond += " AND event IN ('userexit', 'selfend') AND sid IS NOT NULL AND length(sid) > 0"
+        cond += f" AND event IN {_in_list(events)} AND sid IS NOT NULL AND sid != ''"
     return fields, cond, ["sid", "content_type"]
