@@ -84,7 +84,7 @@ def assoc_preset(types: Sequence[str], hour_source: str = "datetime",
     hold an hour are dropped, as in the original condition.
     """
     fields = ["user_id", "content_type", "sid", hour_source, "CAST(account_id AS BIGINT) AS account_id"]
-    cond = ("((user_id IS NOT NULL AND length(user_id) = 32) OR account_id IS NOT NULL) "
+    cond = (f"((user_id IS NOT NULL AND length(user_id) = {config.USER_ID_LENGTH}) OR account_id IS NOT NULL) "
             f"AND sid IS NOT NULL AND length(sid) > 0 AND content_type IN {_in_list(types)}")
     if hour_source == "datetime":
         cond += " AND length(datetime) > 14"
