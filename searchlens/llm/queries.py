@@ -6,24 +6,69 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import quality, secrets
+from .common import scratch_path
+from .decontaminate import find_leaks
 from .exact_dedup import exact_dedup
+from .licenses import find_licenses
+from .packing import pack_documents
 from .sharding import shard_rows
+from .simhash import near_dedup
+from .token_counts import token_counts
+from .token_files import read_token_files, write_token_files
 
 
-def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def _table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(_documents(spark, sf_dir))
+    return exact_dedup(_table(spark, sf_dir))
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "tokens")
+    return read_token_files(spark, folder, write_token_files(_table(spark, sf_dir), folder))
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir)
+    return secrets.find_secrets(docs, secrets.train(docs))
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shard_rows(_documents(spark, sf_dir), shards=24)
+    return shard_rows(_table(spark, sf_dir), shards=24)
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(_table(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
+
+
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(_table(spark, sf_dir))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_table(spark, sf_dir))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_licenses(_table(spark, sf_dir))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir)
+    return quality.score_documents(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op5_sharding)
+    f.__name__: f
+    for f in (op1_exact_dedup, op2_token_files, op3_best_fit_packing, op4_secret_scan, op5_sharding,
+              op6_decontamination, op7_simhash_dedup, op8_token_counts, op9_license_scan, op10_quality)
 }
 
 ORACLE_SQL: dict[str, str] = {
