@@ -1,7 +1,7 @@
 """Benchmark decontamination by SimHash over item-sized windows.
 
 1. Every benchmark item gets a window size a little below its own size, from a grid of sizes, and a 64-bit SimHash of
-   its words at every offset of that window. A passage that keeps about nine tenths of the item in one run holds such
+   its word pairs at every offset of that window. A passage that keeps about nine tenths of the item in one run holds such
    a window whole wherever the document's windows, which step by a tenth of their size, happen to begin.
 2. Windows of each size run over the whole text of every document. A multi-index over four blocks of 16 bits finds
    all item fingerprints within ``RADIUS`` bits of a window's: by the pigeonhole principle one of the blocks differs
@@ -10,7 +10,8 @@
    often they occur: the sum of the smaller counts over the sum of the larger ones must reach 0.8.
 
 Words are runs of characters between white space and ASCII punctuation, in lower case. Benchmark items are broadcast
-in blocks of at most ``BLOCK_BYTES``; documents are neither shuffled nor gathered.
+in blocks of at most ``BLOCK_BYTES``; documents are neither shuffled nor gathered. An edited word moves two of a
+window's pairs but five of its shingles, so pairs keep the fingerprints of lightly edited passages close.
 
 Defined results: a null or empty text, of a document or an item, matches nothing; an item of fewer than five words is
 one shingle; equal items are reported each; repeated rows are reported each; an empty table gives no rows; other
@@ -38,7 +39,8 @@ BLOCKS = 4                  # of 16 bits
 SHARE = 0.85                # of an item's words that its window has at most
 GROWTH = 1.12               # from a window size to the next
 BLOCK_BYTES = 4 << 20       # of benchmark text that is broadcast at once
-_WORDS = 1 << 16            # words of a document that are worked on at a time
+PAIRED = 4                  # words from which an item's features are word pairs and not words
+_WORDS = 1 << 16            # words that are worked on at a time
 _CHARS = 8 << 20
 
 _PUNCTUATION = bytes(range(33, 48)) + bytes(range(58, 65)) + bytes(range(91, 97)) + bytes(range(123, 127))
@@ -55,6 +57,16 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxh64_intdigest, words, repeat(0)), np.uint64, len(words))
 
 
+def features(hashes: np.ndarray, width: int) -> np.ndarray:
+    """The hashes of all runs of ``width`` words (1 or 2), from those of the words."""
+    if width == 1:
+        return hashes
+    mixed = hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:]
+    mixed ^= mixed >> np.uint64(29)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    return mixed ^ (mixed >> np.uint64(32))
+
+
 def bit_sums(hashes: np.ndarray) -> np.ndarray:
     """Running sums of each of the 64 bits; differences of two rows count a window's bits, modulo 2**16."""
     bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -64,7 +76,7 @@ def bit_sums(hashes: np.ndarray) -> np.ndarray:
 
 
 def window_prints(sums: np.ndarray, size: int, step: int) -> np.ndarray:
-    """The SimHash of every window of ``size`` words, ``step`` words apart."""
+    """The SimHash of every window of ``size`` features, ``step`` features apart."""
     if len(sums) <= size:
         return np.empty(0, np.uint64)
     counts = sums[size::step] - sums[:-size:step]
@@ -72,10 +84,10 @@ def window_prints(sums: np.ndarray, size: int, step: int) -> np.ndarray:
 
 
 def window_size(words: int) -> int:
-    """The largest size of the grid that leaves the item its margin; very short items are their own window."""
-    target = int(words * SHARE)
+    """The largest size of the grid that leaves the item its margin; the grid has every size below 8."""
+    target = max(1, int(words * SHARE))
     if target < 8:
-        return words
+        return target
     return int(8 * GROWTH ** math.floor(math.log(target / 8) / math.log(GROWTH) + 1e-9))
 
 
@@ -132,6 +144,10 @@ def weighted_similarity(a: Counter, b: Counter) -> float:
     return shared / either if either else 0.0
 
 
+Leak = tuple[int, float, int, int]              # item id, similarity, first word, words
+Stretch = tuple[int, int, list[bytes]]          # number of the text, words of it before, words
+
+
 class Index:
     """A block of benchmark items, ready to be looked for."""
 
@@ -139,33 +155,35 @@ class Index:
         self.similarity = similarity
         self.items = [(i, w) for i, t in items if (w := words_of(t or ""))]
         self.shingles = [shingle_counts(w) for _, w in self.items]
-        by_size: dict[int, list[tuple[int, int, int]]] = {}
+        by_size: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
         for k, (_, words) in enumerate(self.items):
+            width = 2 if len(words) >= PAIRED else 1
             size = window_size(len(words))
-            prints = window_prints(bit_sums(word_hashes(words)), size, 1)
-            by_size.setdefault(size, []).extend((int(p), k, at) for at, p in enumerate(prints))
-        self.sizes = [(size, MultiIndex(np.array([p for p, _, _ in e], np.uint64), radius),
+            prints = window_prints(bit_sums(features(word_hashes(words), width)), size - width + 1, 1)
+            by_size.setdefault((width, size), []).extend((int(p), k, at) for at, p in enumerate(prints))
+        self.sizes = [(width, size, MultiIndex(np.array([p for p, _, _ in e], np.uint64), radius),
                        np.array([k for _, k, _ in e]), np.array([at for _, _, at in e]))
-                      for size, e in sorted(by_size.items())]
+                      for (width, size), e in sorted(by_size.items())]
         self.longest = max((len(w) for _, w in self.items), default=0)
 
-    def leaks(self, text: str) -> list[tuple[int, float, int, int]]:
-        """(item id, similarity, first word, words) of the best match of each item that ``text`` leaks."""
-        best: dict[int, tuple[float, int]] = {}
-        before = 0
-        for words, own in self._stretches(text):
-            for k, start in self._candidates(words):
-                lo = max(0, start)
-                part = words[lo:max(lo, start + len(self.items[k][1]))]
-                s = weighted_similarity(shingle_counts(part), self.shingles[k])
-                if s >= self.similarity and s > best.get(k, (0.0, 0))[0]:
-                    best[k] = s, before + lo
-            before += own
-        return [(self.items[k][0], s, at, len(self.items[k][1])) for k, (s, at) in sorted(best.items())]
-
-    def _stretches(self, text: str) -> Iterator[tuple[list[bytes], int]]:
-        """The words in stretches of bounded size, each with the head of the next one; and the words of its own."""
-        over, words, at = 2 * self.longest, [], 0
+    def leaks(self, texts: list[str]) -> list[list[Leak]]:
+        """The best match of each item that a text leaks, for every text."""
+        best: list[dict[int, tuple[float, int]]] = [{} for _ in texts]
+        held: list[Stretch] = []
+        count = 0
+        for n, text in enumerate(texts):
+            for stretch in self._stretches(n, text):
+                held.append(stretch)
+                count += len(stretch[2])
+                if count >= _WORDS:
+                    self._match(held, best)
+                    held, count = [], 0
+        self._match(held, best)
+        return [[(self.items[k][0], s, at, len(self.items[k][1])) for k, (s, at) in sorted(b.items())] for b in best]
+
+    def _stretches(self, n: int, text: str) -> Iterator[Stretch]:
+        """A text's words in stretches of bounded size, each with the head of the next one."""
+        over, words, at, before = 2 * self.longest, [], 0, 0
         while at < len(text) or words:
             while at < len(text) and len(words) < _WORDS + over:
                 end = min(len(text), at + _CHARS)
@@ -174,22 +192,36 @@ class Index:
                 words += words_of(text[at:end])
                 at = end
             if at >= len(text) and len(words) <= _WORDS + over:
-                yield words, len(words)
+                yield n, before, words
                 return
-            yield words[:_WORDS + over], _WORDS
-            words = words[_WORDS:]
-
-    def _candidates(self, words: list[bytes]) -> set[tuple[int, int]]:
-        """(item, place where it would begin) of every window near one of the item's."""
-        out: set[tuple[int, int]] = set()
-        if not words:
-            return out
-        sums = bit_sums(word_hashes(words))
-        for size, index, item, offset in self.sizes:
+            yield n, before, words[:_WORDS + over]
+            words, before = words[_WORDS:], before + _WORDS
+
+    def _match(self, held: list[Stretch], best: list[dict[int, tuple[float, int]]]) -> None:
+        """Look for all items in the given stretches at once, and verify what the windows find."""
+        words = [w for _, _, own in held for w in own]
+        if not words or not self.sizes:
+            return
+        ends = np.cumsum([len(own) for _, _, own in held])
+        home = np.repeat(np.arange(len(held)), [len(own) for _, _, own in held])
+        hashes = word_hashes(words)
+        sums = {w: bit_sums(features(hashes, w)) for w in {width for width, *_ in self.sizes}}
+        found: set[tuple[int, int, int]] = set()
+        for width, size, index, item, offset in self.sizes:
             step = step_of(size)
-            at, entry = index.find(window_prints(sums, size, step))
-            out.update(zip(item[entry].tolist(), (at * step - offset[entry]).tolist(), strict=True))
-        return out
+            at, entry = index.find(window_prints(sums[width], size - width + 1, step))
+            at = at * step
+            inside = home[at] == home[at + size - 1]   # not across two stretches
+            at, entry = at[inside], entry[inside]
+            found.update(zip(home[at].tolist(), item[entry].tolist(), (at - offset[entry]).tolist(), strict=True))
+        for h, k, start in found:
+            n, before, own = held[h]
+            first = int(ends[h]) - len(own)
+            lo = max(0, start - first)
+            part = own[lo:max(lo, start - first + len(self.items[k][1]))]
+            s = weighted_similarity(shingle_counts(part), self.shingles[k])
+            if s >= self.similarity and (s, -before - lo) > (best[n].get(k, (0.0, 0))[0], -best[n].get(k, (0.0, 0))[1]):
+                best[n][k] = s, before + lo
 
 
 def item_blocks(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> Iterator[list[tuple[int, str]]]:
@@ -220,8 +252,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, ident: str = "doc_id", tex
         def find(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = Index(shared.value, similarity=similarity)
             for batch in pieces_of(batches, "text"):
-                found = [(d, *m) for d, t in zip(batch.column("doc_id").to_pylist(), strings(batch.column("text")),
-                                                 strict=True) for m in index.leaks(t)]
+                leaks = index.leaks(strings(batch.column("text")))
+                found = [(d, *m) for d, own in zip(batch.column("doc_id").to_pylist(), leaks, strict=True) for m in own]
                 if found:
                     columns = list(zip(*found, strict=True))
                     yield pa.record_batch([pa.array(columns[0], batch.schema.field("doc_id").type),
@@ -243,7 +275,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text",
         def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = Index(shared.value, similarity=similarity)
             for batch in pieces_of(batches, f"c{at}"):
-                clean = [not index.leaks(t) for t in strings(batch.column(at))]
+                clean = [not own for own in index.leaks(strings(batch.column(at)))]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
         out = out.mapInArrow(keep, out.schema)
