@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 HOT_SHARE = 1000
 
 _scratch: list[tuple[SparkSession, str]] = []
+_made: dict[str, str] = {}   # the folders of local sessions, by application
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,9 +30,10 @@ def shared_dir(spark: SparkSession) -> str:
     master = spark.sparkContext.master
     if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError("spark.checkpoint.dir is not set; name a folder that all executors share")
-    made = "file://" + tempfile.mkdtemp(prefix="searchlens-llm-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    app = spark.sparkContext.applicationId
+    if app not in _made:
+        _made[app] = "file://" + tempfile.mkdtemp(prefix="searchlens-llm-")
+    return _made[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -1,0 +1,34 @@
+"""A table of awkward documents, and brute-force helpers, for the tests of all corpus operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "doc_id bigint, text string, digest string, salt int, row string, best int, id string, fp string, c0 int, h int, n int"
+CLASHES = ("d", 1, "r", 2, "i", "f", 3, 4, 5)   # values of the columns whose names operators use inside
+LONG = "lorem ipsum dolor " * 40_000 + "x" * 70_000
+
+TEXTS: list[tuple[int | None, str | None]] = [
+    (1, None), (2, ""), (3, "  \n\t "), (4, "one"), (5, "one two"), (6, "one two three four five six"),
+    (7, "one two three four five six"), (7, "one two three four five six"),   # a repeated row
+    (8, "One Two Three Four Five Six"), (9, LONG), (10, LONG), (None, "no id"), (11, "naïve café — 文字 😀 end"),
+    (12, "one two three four five six"),
+]
+
+
+def edge_docs(spark: SparkSession, texts=None) -> DataFrame:
+    rows = [(i, t, *CLASHES) for i, t in (TEXTS if texts is None else texts)]
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+def plain_docs(spark: SparkSession, texts) -> DataFrame:
+    return spark.createDataFrame(list(texts), "doc_id bigint, text string")
+
+
+def documents(spark: SparkSession) -> DataFrame:
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+def texts_of(docs: DataFrame) -> list[tuple[int, str]]:
+    return [(r["doc_id"], r["text"] or "") for r in docs.select("doc_id", "text").collect()]

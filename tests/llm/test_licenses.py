@@ -1,0 +1,69 @@
+import random
+import re
+
+from searchlens.llm import licenses as L
+
+from .edge import TEXTS, documents, edge_docs, plain_docs, texts_of
+
+
+def words_of(text):
+    return [w for w in re.split(r"[\W_]+", (text or "").lower()) if w]
+
+
+def shingles_of(words):
+    return {tuple(words[k:k + 5]) for k in range(len(words) - 4)} or ({tuple(words)} if words else set())
+
+
+def slow(texts, templates):
+    """(doc, template) whose shingles lie in the document to the share asked for."""
+    own = [(k, shingles_of(words_of(t))) for k, (_, t) in enumerate(templates)]
+    out = set()
+    for i, t in texts:
+        s = shingles_of(words_of(t))
+        out |= {(i, k) for k, x in own if x and len(x & s) / len(x) >= 0.8}
+    return out
+
+
+def found(df):
+    return {(r["doc_id"], r["template"]) for r in df.collect()}
+
+
+def test_band_settings():
+    assert 1 - (1 - 0.8) ** L.BANDS > 0.9999
+    for n in range(1, 200):
+        size = L.class_of(n)
+        assert n >= size + L.step_of(size) - 1 or size == 1
+
+
+def test_documents_of_the_table(spark):
+    docs = documents(spark)
+    out = L.find_licenses(docs)
+    assert found(out) == slow(texts_of(docs), L.TEMPLATES) != set()
+
+
+def test_notices_anywhere_in_long_texts(spark):
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("aeioulnrst") for _ in range(rng.randint(2, 9)))
+    texts, want = [], set()
+    for k in range(60):
+        body = [word() for _ in range(rng.randint(0, 300))]
+        t = k % len(L.TEMPLATES)
+        notice = L.TEMPLATES[t][1].split()
+        if len(notice) > 40:
+            notice[rng.randrange(len(notice))] = "changed"
+        at = rng.randint(0, len(body))
+        body[at:at] = [w.upper() for w in notice]
+        texts.append((k, " ".join(body)))
+    got = found(L.find_licenses(plain_docs(spark, texts)))
+    assert got == slow(texts, L.TEMPLATES)
+    assert {(k, k % len(L.TEMPLATES)) for k in range(60)} <= got
+
+
+def test_awkward_documents(spark):
+    docs = edge_docs(spark)
+    templates = [("six", "One two, three four five six!"), ("one", "one"), ("none", ""), ("same", "one two three four five six")]
+    got = found(L.find_licenses(docs, templates))
+    assert got == slow(TEXTS, templates)
+    assert L.find_licenses(docs, []).count() == 0
+    assert L.find_licenses(edge_docs(spark, []), templates).count() == 0
+    assert L.find_licenses(docs, templates).where("doc_id = 7 and template = 0").count() == 2   # a repeated row
