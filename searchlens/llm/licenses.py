@@ -10,8 +10,10 @@ band does for windows of one shingle, whose similarity is 0 or 1.)
 Every template so retrieved is verified: the share of its shingles that occur in the stretch of the document around
 the window must reach ``containment``.
 
-Everything is DataFrame operations: windows and bands are array expressions inside the scan, only windows that meet a
-template leave it. Templates are a list that the caller states; their band keys are part of the plan.
+A window that has no shingle in common with any template has no band in common either, since a band's value is the
+value of one of the shingles; so only windows over such a shingle are signed, which gives the same matches as signing
+all. Everything is DataFrame operations: shingles and windows are array expressions inside the scan. Templates are a
+list that the caller states; they are taken in blocks of at most ``BLOCK_SHINGLES`` shingles.
 
 Defined results: a null or empty text matches nothing; a text, or a template, of fewer than five words is one shingle;
 equal templates are reported each; repeated rows are reported each; an empty table gives no rows; other columns are
@@ -30,6 +32,7 @@ from .common import saved, text_of
 SHINGLE = 5
 BANDS = 6
 CONTAINMENT = 0.8
+BLOCK_SHINGLES = 20_000
 CLASSES = (1, 4, 16, 64)   # window sizes in shingles; each but the first begins every half window
 
 # Notices of well-known licenses, as they are commonly printed (fixed values).
@@ -77,13 +80,9 @@ def shingle_hashes(text: Column) -> Column:
         lambda x, i: F.xxhash64(x, *[F.get(w, i + k) for k in range(1, SHINGLE)]))))
 
 
-def _band_values(hashes: Column, band: int) -> Column:
-    return F.transform(hashes, lambda h: F.xxhash64(h, F.lit(band)))
-
-
-def _smallest(values: str, starts: Column, size: int) -> Column:
-    """The smallest value of every window."""
-    return F.transform(starts, lambda p: F.array_min(F.slice(F.col(values), p + 1, F.lit(size))))
+def signature(window: Column) -> Column:
+    """The MinHash values of a window of shingle hashes, one per band."""
+    return F.array(*[F.array_min(F.transform(window, lambda h: F.xxhash64(h, F.lit(band)))) for band in range(BANDS)])
 
 
 def templates_frame(spark: SparkSession, templates: Sequence[tuple[str, str]]) -> DataFrame:
@@ -93,85 +92,78 @@ def templates_frame(spark: SparkSession, templates: Sequence[tuple[str, str]]) -
     return rows.select("template", "license", shingle_hashes(F.col("text")).alias("shingles")).where("size(shingles) > 0")
 
 
-def _template_bands(frame: DataFrame) -> list[tuple[int, int, int, int, int]]:
-    """(template, shingles, size, band, key) of all windows of all templates, on the driver: the stated list."""
-    out = []
-    listed = frame.select("template", F.size("shingles").alias("n"), "shingles").collect()
-    for size in CLASSES:
-        own = [r for r in listed if class_of(r["n"]) == size]
-        if not own:
-            continue
-        part = frame.where(F.col("template").isin([r["template"] for r in own]))
-        starts = F.sequence(F.lit(0), F.size("shingles") - size)
-        for band in range(bands_of(size)):
-            part = part.withColumn(f"v{band}", _band_values(F.col("shingles"), band))
-        keys = [_smallest(f"v{band}", starts, size).alias(f"k{band}") for band in range(bands_of(size))]
-        for r in part.select("template", F.size("shingles").alias("n"), *keys).collect():
-            out += [(r["template"], r["n"], size, band, key) for band in range(bands_of(size))
-                    for key in set(r[f"k{band}"])]
-    return out
+def _blocks(spark: SparkSession, templates: Sequence[tuple[str, str]]) -> list[DataFrame]:
+    """The templates in blocks of bounded size."""
+    frame = templates_frame(spark, templates)
+    blocks, held = [[]], 0
+    for r in frame.select("template", F.size("shingles").alias("n")).orderBy("template").collect():
+        if blocks[-1] and held + r["n"] > BLOCK_SHINGLES:
+            blocks.append([])
+            held = 0
+        blocks[-1].append(r["template"])
+        held += r["n"]
+    return [frame.where(F.col("template").isin(b)) for b in blocks if b]
+
+
+def _template_bands(block: DataFrame) -> DataFrame:
+    """(template, size, band, key) of all windows of a block's templates."""
+    n = F.size("shingles")
+    size = F.lit(CLASSES[0])
+    for w in CLASSES[1:]:
+        size = F.when(n >= w + step_of(w) - 1, F.lit(w)).otherwise(size)
+    windows = block.withColumn("size", size).select(
+        "template", "size", "shingles", F.explode(F.sequence(F.lit(0), n - F.col("size"))).alias("start"))
+    signed = windows.select("template", "size", signature(F.slice("shingles", F.col("start") + 1, F.col("size"))).alias("s"))
+    keys = signed.select("template", "size", F.posexplode("s").alias("band", "key"))
+    return keys.where((F.col("size") > 1) | (F.col("band") == 0)).distinct()
+
+
+def _windows_over(at: Column, count: Column, size: int) -> Column:
+    """(size, start) of the windows of one size that hold one of the places ``at`` among ``count`` shingles."""
+    step = step_of(size)
+
+    def around(p: Column) -> Column:
+        first = F.greatest(F.ceil((p - F.lit(size - 1)) / step).cast("int"), F.lit(0))
+        last = F.least(F.floor(p / step).cast("int"), F.floor((count - size) / step).cast("int"))
+        return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+
+    return F.transform(F.array_distinct(F.flatten(F.transform(at, around))),
+                       lambda k: F.struct(F.lit(size).alias("size"), (k * step).alias("start")))
 
 
 def find_licenses(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, ident: str = "doc_id",
                   text: str = "text", containment: float = CONTAINMENT) -> DataFrame:
     """(doc_id, template, license, containment, first_shingle): the best match of each template in each document."""
     spark = docs.sparkSession
-    frame = templates_frame(spark, templates)
-    bands = _template_bands(frame)
+    kind = dict(docs.dtypes)[ident]
+    out = spark.createDataFrame(
+        [], f"doc_id {kind}, template int, license string, containment double, first_shingle bigint")
+    for block in _blocks(spark, templates):
+        out = out.unionByName(_find_block(docs, block, ident, text, containment))
+    return out
+
+
+def _find_block(docs: DataFrame, block: DataFrame, ident: str, text: str, containment: float) -> DataFrame:
+    known = [r[0] for r in block.select(F.explode("shingles").alias("h")).distinct().collect()]
+    longest = block.agg(F.max(F.size("shingles"))).first()[0]
     rows = docs.select(F.col(ident).alias("doc_id"), F.monotonically_increasing_id().alias("row"),
                        shingle_hashes(text_of(text)).alias("h"))
-    schema = "doc_id bigint, row bigint, size int, keys array<bigint>, first int, stretch array<bigint>"
-    schema = schema.replace("doc_id bigint", f"doc_id {dict(rows.dtypes)['doc_id']}")
-    hits = spark.createDataFrame([], schema)
-    sizes = sorted({b[2] for b in bands})
-    if sizes:
-        hit_arrays = F.flatten(F.array(*[
-            _hits(F.col("h"), size, [[b[4] for b in bands if b[2:4] == (size, k)] for k in range(bands_of(size))],
-                  max(b[1] for b in bands if b[2] == size)) for size in sizes]))
-        hits = saved(rows.select("doc_id", "row", F.explode(hit_arrays).alias("hit")).select("doc_id", "row", "hit.*"),
-                     "license_hits")
-    keys = F.broadcast(spark.createDataFrame([(t, s, b, k) for t, _, s, b, k in bands],
-                                             "template int, size int, band int, key bigint"))
+    at = F.array_compact(F.transform("h", lambda x, i: F.when(x.isin(known), i)))
+    near = rows.withColumn("at", at).where(F.size("at") > 0)
+    windows = F.concat(*[_windows_over(F.col("at"), F.size("h"), size) for size in CLASSES])
+    around = F.greatest(F.col("w.start") - longest, F.lit(0))
+    hits = saved(near.select("doc_id", "row", "h", F.explode(windows).alias("w")).select(
+        "doc_id", "row", F.col("w.size").alias("size"), around.alias("first"),
+        F.slice("h", around + 1, F.col("w.size") + 2 * longest).alias("stretch"),
+        signature(F.slice("h", F.col("w.start") + 1, F.col("w.size"))).alias("keys")), "license_windows")
     met = hits.select("doc_id", "row", "size", "first", "stretch", F.posexplode("keys").alias("band", "key")) \
-        .join(keys, ["size", "band", "key"]).select("doc_id", "row", "template", "first", "stretch")
-    known = frame.select("template", "license", F.array_distinct("shingles").alias("shingles"))
+        .join(F.broadcast(_template_bands(block)), ["size", "band", "key"]) \
+        .select("doc_id", "row", "template", "first", "stretch")
+    names = block.select("template", "license", F.array_distinct("shingles").alias("shingles"))
     share = F.size(F.array_intersect("stretch", "shingles")) / F.size("shingles")
-    first = F.filter(F.transform("stretch", lambda x, i: F.when(F.array_contains("shingles", x), i)),
-                     lambda i: i.isNotNull())[0] + F.col("first")
-    scored = met.join(F.broadcast(known), "template").withColumn("containment", share).where(F.col("containment") >= containment) \
-        .withColumn("found", F.struct("containment", (-first).alias("at"), "license"))
+    first = F.array_compact(F.transform("stretch", lambda x, i: F.when(F.array_contains("shingles", x), i)))[0] + F.col("first")
+    scored = met.join(F.broadcast(names), "template").withColumn("containment", share) \
+        .where(F.col("containment") >= containment).withColumn("found", F.struct("containment", (-first).alias("at"), "license"))
     return scored.groupBy("row", "doc_id", "template").agg(F.max("found").alias("found")).select(
         "doc_id", "template", "found.license", F.round("found.containment", 6).alias("containment"),
         (-F.col("found.at")).cast("bigint").alias("first_shingle"))
-
-
-def _hits(h: Column, size: int, keys: list[list[int]], longest: int) -> Column:
-    """The windows of one size that share a band with a template: size, band values, and the stretch around them."""
-    step = step_of(size)
-    bands = range(len(keys))
-
-    def windows(h: Column) -> Column:
-        """A struct of the band values of every window."""
-        if size == 1:
-            return F.transform(h, lambda x: F.struct(*[F.xxhash64(x, F.lit(b)).alias(f"b{b}") for b in bands]))
-        # Half windows first: a window's minimum is that of its two halves.
-        halves = F.transform(F.sequence(F.lit(0), F.floor(F.size(h) / step).cast("int") - 1), lambda p: F.transform(
-            F.array(F.slice(h, p * step + 1, step)), lambda s: F.struct(
-                *[F.array_min(_band_values(s, b)).alias(f"b{b}") for b in bands]))[0])
-        return F.flatten(F.transform(F.array(halves), lambda m: F.transform(
-            F.slice(m, F.lit(1), F.size(m) - 1), lambda x, i: F.struct(
-                *[F.least(x[f"b{b}"], F.get(m, i + 1)[f"b{b}"]).alias(f"b{b}") for b in bands]))))
-
-    def meets(w: Column) -> Column:
-        out = w["b0"].isin(keys[0])
-        for b in bands[1:]:
-            out = out | w[f"b{b}"].isin(keys[b])
-        return out
-
-    marked = F.transform(windows(h), lambda w, i: F.when(meets(w), F.struct(
-        F.lit(size).alias("size"), F.array(*[w[f"b{b}"] for b in bands]).alias("keys"),
-        F.greatest(i * step - longest, F.lit(0)).alias("first"),
-        F.slice(h, F.greatest(i * step - longest, F.lit(0)) + 1, F.lit(size + 2 * longest)).alias("stretch"))))
-    empty = F.array().cast("array<struct<size:int,keys:array<bigint>,first:int,stretch:array<bigint>>>")
-    return F.when(F.size(h) >= max(size, 1 if size == 1 else 2 * step), F.filter(marked, lambda x: x.isNotNull())) \
-        .otherwise(empty)
