@@ -4,10 +4,13 @@ A fingerprint is 64 bits over the word shingles of the whole text. The trie of a
 in pairs of nodes: a pair of nodes carries the bits in which their paths differ, its children are the four pairs of
 child nodes, and a pair with more than the allowed number of differing bits is dropped with all that lies below it.
 
-Spark deals that walk out. The upper part of the trie is cut into nodes of at most ``node_size`` fingerprints each,
-however uneven the fingerprints lie; every pair of such nodes that the walk still allows is one group, which holds at
-most two nodes' fingerprints and goes on from there in numpy over sorted arrays, where a node is a range. A group
-gives a spanning forest of its links, never all pairs, and the components come from those forests.
+Spark deals that walk out. Fingerprints within k bits agree in one of k + 1 blocks of bits, so the trie is built once per
+block, with that block's bits first and no budget to differ in them: near the root only the pairs of a node with itself
+are left. The upper part of each trie is cut into nodes of at most ``node_size`` fingerprints, however uneven they lie;
+every pair of such nodes that the walk still allows is one group, which holds at most two nodes' fingerprints and goes on
+from there in numpy over sorted arrays, where a node is a range. (Different nodes meet only below the first block, where
+a block's value alone has more than ``node_size`` fingerprints.) A group gives a spanning forest of its links, never all
+pairs, and the components come from those forests.
 
 Defined results: a null or empty text, or one without words, has fingerprint zero and links like any other; a text of
 fewer words than a shingle is one shingle; equal fingerprints link; repeated rows are all reported, and
@@ -136,46 +139,77 @@ def _mask(depth: int) -> str:
     return f"CAST({_signed((2**64 - 1) ^ (2**(_ALL - depth) - 1))}BD AS BIGINT)"
 
 
+def turns(max_bits: int) -> list[tuple[int, int]]:
+    """(first bit, length) of each of the ``max_bits`` + 1 blocks of a fingerprint."""
+    edges = [k * _ALL // (max_bits + 1) for k in range(max_bits + 2)]
+    return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
+
+
+def turn_left(x: np.ndarray, bits: int) -> np.ndarray:
+    """The fingerprints with their first ``bits`` bits moved to the end."""
+    return x if bits % _ALL == 0 else (x << np.uint64(bits % _ALL)) | (x >> np.uint64(_ALL - bits % _ALL))
+
+
+def _upper(x: np.ndarray, depths: np.ndarray) -> np.ndarray:
+    """The first ``depths`` bits; shifted in two steps, since a shift by 64 is undefined."""
+    half = (_ALL - depths) // 2
+    return (x >> half.astype(np.uint64)) >> (_ALL - depths - half).astype(np.uint64)
+
+
 class NodePairs:
-    """Which nodes of the upper trie a node has to meet."""
+    """The upper trie of one turn: which nodes a node has to meet."""
 
-    def __init__(self, paths: np.ndarray, depths: np.ndarray, max_bits: int):
-        self.paths, self.depths, self.max_bits = paths, depths, max_bits
+    def __init__(self, paths: np.ndarray, depths: np.ndarray, max_bits: int, exact: int):
+        self.paths, self.depths, self.max_bits, self.exact = paths, depths, max_bits, exact
         self.known: dict[int, np.ndarray] = {}
 
     def of(self, node: int) -> np.ndarray:
-        """The nodes whose path differs in at most ``max_bits`` bits as far as both paths go."""
+        """The nodes whose paths, as far as both go, agree in the first ``exact`` bits and differ in at most
+        ``max_bits`` others."""
         if node not in self.known:
-            shared = np.minimum(self.depths, self.depths[node]).astype(np.uint64)
-            # a shift by 64 is undefined, so paths of depth 0 are shifted twice by 32
-            half = (np.uint64(_ALL) - shared) // np.uint64(2)
-            rest = np.uint64(_ALL) - shared - half
-            apart = np.bitwise_count(((self.paths ^ self.paths[node]) >> half) >> rest)
-            self.known[node] = np.flatnonzero(apart <= self.max_bits)
+            # nodes that agree in the exact bits stand together, since the paths are in order
+            span = np.uint64(2 ** (_ALL - min(self.exact, int(self.depths[node]))) - 1)
+            lo = np.searchsorted(self.paths, self.paths[node] & ~span)
+            hi = np.searchsorted(self.paths, self.paths[node] | span, side="right")
+            shared = np.minimum(self.depths[lo:hi], self.depths[node])
+            apart = np.bitwise_count(_upper(self.paths[lo:hi] ^ self.paths[node], shared))
+            self.known[node] = lo + np.flatnonzero(apart <= self.max_bits)
         return self.known[node]
 
 
-def node_pairs(fps: DataFrame, paths: np.ndarray, depths: np.ndarray, max_bits: int) -> DataFrame:
-    """Each fingerprint once for every pair of nodes that its node is part of: (a, b, fp), a <= b."""
+Trie = tuple[int, int, np.ndarray, np.ndarray]   # first bit and length of the block, paths and depths of the nodes
+
+
+def tries(fps: DataFrame, max_bits: int, node_size: int) -> list[Trie]:
+    """The upper trie of every turn."""
+    out = []
+    for first, exact in turns(max_bits):
+        turned = fps if not first else fps.select(
+            F.expr(f"shiftleft(fp, {first}) | shiftrightunsigned(fp, {_ALL - first})").alias("fp"))
+        out.append((first, exact, *trie_nodes(turned, node_size)))
+    return out
+
+
+def node_pairs(fps: DataFrame, upper: list[Trie], max_bits: int) -> DataFrame:
+    """Each fingerprint, turned, once for every pair of nodes that its node is part of: (turn, a, b, fp), a <= b."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = NodePairs(paths, depths, max_bits)
+        pairs = [NodePairs(paths, depths, max_bits, exact) for _, exact, paths, depths in upper]
         for batch in batches:
-            fp = batch.column("fp").to_numpy().view(np.uint64)
-            home = np.searchsorted(paths, fp, side="right") - 1
-            order = np.argsort(home, kind="stable")
-            for own in np.split(order, np.flatnonzero(np.diff(home[order])) + 1):
-                if not len(own):
-                    continue
-                node = int(home[own[0]])
-                met = pairs.of(node)
-                for k in range(0, len(own), max(1, (1 << 20) // len(met))):
-                    some = fp[own[k:k + max(1, (1 << 20) // len(met))]]
-                    other = np.tile(met, len(some))
-                    yield pa.record_batch([pa.array(np.minimum(other, node)), pa.array(np.maximum(other, node)),
-                                           pa.array(np.repeat(some, len(met)).view(np.int64))], names=["a", "b", "fp"])
-
-    return fps.select("fp").mapInArrow(deal, "a bigint, b bigint, fp bigint")
+            plain = batch.column("fp").to_numpy().view(np.uint64)
+            for turn, (first, *_) in enumerate(upper):
+                fp = turn_left(plain, first)
+                home = np.searchsorted(pairs[turn].paths, fp, side="right") - 1
+                met = [pairs[turn].of(int(h)) for h in home]
+                for k in range(0, len(fp), 1 << 13):
+                    sizes = [len(m) for m in met[k:k + (1 << 13)]]
+                    other = np.concatenate(met[k:k + (1 << 13)])
+                    own = np.repeat(home[k:k + (1 << 13)], sizes)
+                    yield pa.record_batch([
+                        pa.array(np.full(len(own), turn)), pa.array(np.minimum(other, own)), pa.array(np.maximum(other, own)),
+                        pa.array(np.repeat(fp[k:k + (1 << 13)], sizes).view(np.int64))], names=["turn", "a", "b", "fp"])
+
+    return fps.select("fp").mapInArrow(deal, "turn bigint, a bigint, b bigint, fp bigint")
 
 
 # ---- the lower trie: a sorted array, in which a node is a range
@@ -211,10 +245,11 @@ def _compare(x: np.ndarray, forest: Forest, max_bits: int, lo1, n1, lo2, n2) ->
     forest.link(i[near], j[near])
 
 
-def walk(x: np.ndarray, first: tuple[int, int, int, int], max_bits: int, forest: Forest) -> None:
+def walk(x: np.ndarray, first: tuple[int, int, int, int], max_bits: int, forest: Forest, exact: int = 0) -> None:
     """Walk the tries below two ranges of the sorted fingerprints ``x`` together and link what is near.
 
-    ``first`` is (start, end) of the two ranges, which are the same or disjoint.
+    ``first`` is (start, end) of the two ranges, which are the same or disjoint. No bit may differ among the first
+    ``exact`` ones.
     """
     start = [np.array([v], np.int64) for v in first]
     todo = [(0, *start, np.zeros(1, np.int64))]
@@ -244,14 +279,14 @@ def walk(x: np.ndarray, first: tuple[int, int, int, int], max_bits: int, forest:
         cross = ~same  # the fourth pair of a node with itself mirrors the third
         children.append(tuple(v[cross] for v in (m1, hi1, lo2, m2, diff + 1)))
         lo1, hi1, lo2, hi2, diff = (np.concatenate(c) for c in zip(*children, strict=True))
-        alive = (hi1 > lo1) & (hi2 > lo2) & (diff <= max_bits)
+        alive = (hi1 > lo1) & (hi2 > lo2) & (diff <= (max_bits if depth >= exact else 0))
         todo.append((depth + 1, *(v[alive] for v in (lo1, hi1, lo2, hi2, diff))))
 
 
-def _forest_of(x: np.ndarray, split: int | None, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+def _forest_of(x: np.ndarray, split: int | None, max_bits: int, exact: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """(u, v) of a spanning forest: within ``x``, or between the parts of ``x`` before and after ``split``."""
     forest = Forest(len(x))
-    walk(x, (0, len(x), 0, len(x)) if split is None else (0, split, split, len(x)), max_bits, forest)
+    walk(x, (0, len(x), 0, len(x)) if split is None else (0, split, split, len(x)), max_bits, forest, exact)
     tied = np.flatnonzero(forest.root != np.arange(len(x)))
     return x[tied], x[forest.root[tied]]
 
@@ -261,16 +296,17 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, node_size: int = NODE_S
 
     ``fps`` is a written table of different fingerprints, column ``fp``.
     """
-    paths, depths = trie_nodes(fps, node_size)
+    upper = tries(fps, max_bits, node_size)
 
     def join(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         x = np.sort(group["fp"].to_numpy().view(np.uint64))
-        a, b = key
+        turn, a, b = key
+        first, exact, paths, _ = upper[turn]
         split = None if a == b else int(np.searchsorted(x, paths[b]))
-        u, v = _forest_of(x, split, max_bits)
-        return pd.DataFrame({"u": u.view(np.int64), "v": v.view(np.int64)})
+        links = [turn_left(f, _ALL - first).view(np.int64) for f in _forest_of(x, split, max_bits, exact)]
+        return pd.DataFrame({"u": links[0], "v": links[1]})
 
-    return node_pairs(fps, paths, depths, max_bits).groupBy("a", "b").applyInPandas(join, "u bigint, v bigint")
+    return node_pairs(fps, upper, max_bits).groupBy("turn", "a", "b").applyInPandas(join, "u bigint, v bigint")
 
 
 # ---- documents

@@ -61,6 +61,10 @@ def test_trie_walk_links_all_pairs_within_the_budget():
         x = np.array(prints, np.uint64)
         u, v = S._forest_of(x, None, 2)
         assert len(u) < len(x)
+        for first, exact in S.turns(2):     # each block's trie alone finds no more than that, and together all
+            turned = np.sort(S.turn_left(x, first))
+            a, b = (S.turn_left(f, 64 - first) for f in S._forest_of(turned, None, 2, exact))
+            u, v = (np.concatenate([u, a]), np.concatenate([v, b])) if first else (a, b)
         got = S.Forest(len(x))
         got.link(np.searchsorted(x, u), np.searchsorted(x, v))
         assert got.root.tolist() == slow_components(prints)
