@@ -49,15 +49,16 @@ COURSE_SUBJECT_TYPE = "course_subject"
 # --- end of fixed values ---
 
 # Message topics (names of our own choosing).
-TOPIC_HOT_LINES = "search-hot-lines"
-TOPIC_HOT_LINES_SPLIT = "search-hot-lines-split"
-TOPIC_HOT = "search-hot-videos"
-TOPIC_HOT_ALL_REGIONS = "search-hot-videos-all-regions"
-TOPIC_EDITORIAL = "search-hot-editorial"
-TOPIC_KIDS = "search-hot-kids"
-TOPIC_TOP_VIDEOS = "search-top-videos"
-TOPIC_TOP_VIDEOS_BY_ID = "search-top-videos-by-id"
-TOPIC_TOP_VIDEOS_ALL_VERSIONS = "search-top-videos-all-versions"
-TOPIC_USER_TYPES = "search-user-content-types"
-TOPIC_HEAT = "search-heat"
-TOPIC_VOICE = "search-voice-scores"
+TOPIC_HOT_LINES = "top-searched-lines"
+TOPIC_HOT_LINES_SPLIT = "top-searched-lines-split"
+TOPIC_HOT = "top-searched-videos"
+TOPIC_HOT_ALL_REGIONS = "top-searched-videos-all-regions"
+TOPIC_EDITORIAL = "editorial-picks"
+TOPIC_KIDS = "editorial-picks-kids"
+TOPIC_REJECTS = "editorial-rejects"
+TOPIC_TOP_VIDEOS = "top-played-videos"
+TOPIC_TOP_VIDEOS_BY_ID = "top-played-videos-by-id"
+TOPIC_TOP_VIDEOS_ALL_VERSIONS = "top-played-videos-all-versions"
+TOPIC_USER_TYPES = "user-content-types"
+TOPIC_HEAT = "video-heat"
+TOPIC_VOICE = "video-voice-scores"

@@ -27,21 +27,21 @@ def _en_parts(en: Column) -> tuple[Column, Column, Column, Column]:
     day = F.substring(en, 1, 2)
     month = F.try_element_at(_month_map(), F.substring(en, 4, 3))
     year = F.substring(en, 8, 4)
-    time = en.substr(F.lit(13), F.greatest(F.length(en) - 12, F.lit(0)))
-    return day, month, year, time
+    time = F.when(F.length(en) >= 12, en.substr(F.lit(13), F.greatest(F.length(en) - 12, F.lit(0))))
+    return day, month, F.when(F.length(en) >= 11, year), time
 
 
 def en_to_cn_datetime(en: Column | str) -> Column:
     """H5: ``dd/MMM/yyyy:HH:mm:ss`` to ``yyyy-MM-dd HH:mm:ss``; text after position 12 kept as is.
 
-    Unknown month or NULL input gives NULL.
+    An unknown month, NULL, or text that ends before position 12 gives NULL.
     """
     day, month, year, time = _en_parts(_c(en))
     return F.concat(year, F.lit("-"), month, F.lit("-"), day, F.lit(" "), time)
 
 
 def en_to_cn_date(en: Column | str) -> Column:
-    """H6: the date part only, ``yyyy-MM-dd``."""
+    """H6: the date part only, ``yyyy-MM-dd``; NULL where the text ends before its year does."""
     day, month, year, _ = _en_parts(_c(en))
     return F.concat(year, F.lit("-"), month, F.lit("-"), day)
 

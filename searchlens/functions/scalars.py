@@ -50,8 +50,8 @@ def to_int_id(code: Column | str) -> Column:
 
 
 def joined_line(*fields: Column | str, sep: str = "||") -> Column:
-    """Fields joined by ``||``."""
-    return F.concat_ws(sep, *[_c(f).cast("string") for f in fields])
+    """Fields joined by ``||``; a NULL field is empty, so that every line has as many fields."""
+    return F.concat_ws(sep, *[F.coalesce(_c(f).cast("string"), F.lit("")) for f in fields])
 
 
 def json_of(**fields: Column | str) -> Column:

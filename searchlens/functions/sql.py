@@ -3,53 +3,48 @@
 The original jobs register functions so SQL text can call them. Here they are
 Spark SQL functions (``CREATE TEMPORARY FUNCTION ... RETURN expr``): the body
 is inlined into the calling plan, so it stays JVM-side and inside whole-stage
-codegen, unlike a Python UDF. The bodies mirror the Column builders of
-``scalars``, ``dates`` and ``titles``; a test checks both agree.
+codegen, unlike a Python UDF. The bodies are the Column expressions of
+``scalars``, ``dates`` and ``titles`` themselves, written out as SQL.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
 from .. import config
-from .scalars import SEARCH_PATH_PATTERN, home_path_pattern
-from .titles import CJK, KEEP_PATTERN
+from . import dates, scalars, titles
 
 
-def _sql_str(s: str) -> str:
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _month_map_sql() -> str:
-    return "map(" + ", ".join(f"'{m}', '{i:02d}'" for i, m in enumerate(config.MONTH_ABBREVIATIONS, start=1)) + ")"
-
-
-def sql_function_bodies(home_types: Iterable[str] = config.HOME_PATH_TYPES) -> dict[str, str]:
-    months = _month_map_sql()
-    en_parts = (f"substring(en, 8, 4) || '-' || try_element_at({months}, substring(en, 4, 3)) || '-' || substring(en, 1, 2)")
+def helpers(home_types: Iterable[str] = config.HOME_PATH_TYPES) -> dict[str, tuple[str, str, Column]]:
+    """Name -> (parameters, result type, expression over columns named like the parameters)."""
     return {
-        "path_code_home": f"(path STRING) RETURNS STRING RETURN nullif(regexp_extract(path, {_sql_str(home_path_pattern(home_types))}, 3), '')",
-        "path_code_search": f"(path STRING) RETURNS STRING RETURN nullif(regexp_extract(path, {_sql_str(SEARCH_PATH_PATTERN)}, 1), '')",
-        "en_to_cn_date": f"(en STRING) RETURNS STRING RETURN {en_parts}",
-        "en_to_cn_datetime": f"(en STRING) RETURNS STRING RETURN {en_parts} || ' ' || substring(en, 13)",
-        "day_add": "(day STRING, n INT) RETURNS STRING RETURN date_format(date_add(try_to_date(day, 'yyyyMMdd'), n), 'yyyyMMdd')",
-        "hour_of": "(datetime STRING) RETURNS STRING RETURN substring(datetime, 12, 2)",
-        "has_chinese": f"(t STRING) RETURNS BOOLEAN RETURN coalesce(t RLIKE {_sql_str(CJK)}, false)",
-        "clean_title": (f"(t STRING) RETURNS STRING RETURN regexp_replace(regexp_replace(t, {_sql_str(KEEP_PATTERN)}, ''), "
-                        f"{_sql_str(r'^\s+|\s+$')}, '')"),
-        "heat_score": ("(v DOUBLE, mean DOUBLE) RETURNS DOUBLE RETURN CASE WHEN mean = 1.0 THEN 100.0 "
-                       "WHEN try_divide(ln(v), ln(mean)) IS NULL OR isnan(try_divide(ln(v), ln(mean))) THEN 100.0 "
-                       "ELSE least(try_divide(ln(v), ln(mean)) * 100.0, 100.0) END"),
+        "path_code_home": ("path STRING", "STRING", scalars.path_code_home("path", home_types)),
+        "path_code_search": ("path STRING", "STRING", scalars.path_code_search("path")),
+        "en_to_cn_date": ("en STRING", "STRING", dates.en_to_cn_date("en")),
+        "en_to_cn_datetime": ("en STRING", "STRING", dates.en_to_cn_datetime("en")),
+        "day_add": ("day STRING, n INT", "STRING", F.date_format(F.date_add(dates.parse_day("day"), F.col("n")), "yyyyMMdd")),
+        "hour_of": ("datetime STRING", "STRING", dates.hour_of("datetime")),
+        "has_chinese": ("t STRING", "BOOLEAN", titles.has_chinese("t")),
+        "clean_title": ("t STRING", "STRING", titles.clean_title("t")),
+        "heat_score": ("v DOUBLE, mean DOUBLE", "DOUBLE", scalars.heat_score("v", "mean")),
     }
 
 
+def _sql_text(spark: SparkSession, parameters: str, expression: Column) -> str:
+    """The SQL of an expression over columns named like the parameters."""
+    plan = spark.createDataFrame([], parameters).select(expression.alias("out"))._jdf.queryExecution().analyzed()
+    return plan.expressions().head().child().sql()
+
+
 def register_sql_functions(spark: SparkSession, prefix: str = "",
                            home_types: Iterable[str] = config.HOME_PATH_TYPES) -> list[str]:
     """Create (or replace) the session's temporary SQL functions; returns their names."""
     names = []
-    for name, body in sql_function_bodies(home_types).items():
-        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}{name}{body}")
+    for name, (parameters, result, expression) in helpers(home_types).items():
+        body = _sql_text(spark, parameters, expression)
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}{name}({parameters}) RETURNS {result} RETURN {body}")
         names.append(prefix + name)
     return names

@@ -17,11 +17,6 @@ CJK = f"[{config.CJK_CLASS}]"
 # (one Chinese character, a run of digits, or a run of ASCII letters).
 KEEP_PATTERN = f"[^0-9a-zA-Z\\s{config.CJK_CLASS}]"
 TOKEN_PATTERN = f"([0-9]+|[a-zA-Z]+|{CJK})"
-# Largest number of distinct characters in the CJK block U+4E00..U+9FA5: the
-# readings table can never have more single-character keys than this.
-CJK_BLOCK_SIZE = 0x9FA5 - 0x4E00 + 1
-
-
 def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
@@ -50,8 +45,8 @@ def title_tokens(text: Column | str) -> Column:
 def readings_table(readings: DataFrame, ch_col: str = "ch", readings_col: str = "readings") -> DataFrame:
     """Normalise a pronunciation table: one row per single CJK character, readings in lower case.
 
-    After the filter the table has at most ``CJK_BLOCK_SIZE`` rows whatever
-    its source, which is what makes broadcasting it safe. A character listed
+    After the filter the table has at most one row per character of the CJK
+    block (20,902) whatever its source, which is what makes broadcasting it safe. A character listed
     twice keeps its smallest reading list, so the choice repeats run to run.
     """
     return (readings.where((F.length(ch_col) == 1) & F.col(ch_col).rlike(CJK))
@@ -64,70 +59,79 @@ def _reading_options(tok: Column, readings: Column) -> Column:
     return F.transform(F.coalesce(readings, F.array(F.lower(tok))), lambda r: F.concat(r, F.lit(" ")))
 
 
-def title_readings(titles: DataFrame, readings: DataFrame, title_col: str = "title",
-                   row_key: list[str] | None = None) -> DataFrame:
+def title_readings(titles: DataFrame, readings: DataFrame, title_col: str = "title") -> DataFrame:
     """Per title, the list of reading lists, one per token in title order.
 
     A token without readings (a digit or letter run, or an unknown
     character) stands for itself in lower case; every reading is followed
     by one space. Adds column ``readings`` (``array<array<string>>``).
 
-    With ``row_key`` (columns that identify a row of ``titles``) the rows are
-    exploded, joined to the broadcast readings and gathered back by that key
-    in one pass: the input is computed once, which matters when it is itself
-    an aggregate. Without it, distinct titles are tokenised once and joined
-    back on the title, so a title shared by many rows is worked on once.
+    Equal rows are counted before their tokens are exploded, joined to the
+    broadcast readings and gathered back under the whole row as the key, so
+    the input is computed once, a repeated row is worked on once, and rows
+    that share an id but not a title stay apart. The count is kept per input
+    partition, so that no single row stands for more rows than one partition
+    held when it is repeated at the end.
     """
-    table = F.broadcast(readings_table(readings))
-    if row_key:
-        others = [c for c in titles.columns if c not in row_key]
-        toks = titles.select(*titles.columns, F.posexplode_outer(title_tokens(title_col)).alias("_pos", "_tok"))
-        joined = toks.join(table, "_tok", "left")
-        entry = F.when(F.col("_pos").isNotNull(), F.struct("_pos", _reading_options(F.col("_tok"), F.col("_readings")).alias("_r")))
-        gathered = joined.groupBy(*row_key).agg(*[F.first(c).alias(c) for c in others],
-                                                F.array_sort(F.collect_list(entry)).alias("_l"))
-        return gathered.select(*titles.columns, F.transform("_l", lambda e: e["_r"]).alias("readings"))
-    texts = titles.select(F.col(title_col).alias("_title")).where(F.col("_title").isNotNull()).distinct()
-    toks = texts.select("_title", F.posexplode(title_tokens("_title")).alias("_pos", "_tok"))
-    joined = toks.join(table, "_tok", "left").select("_title", "_pos", _reading_options(F.col("_tok"), F.col("_readings")).alias("_r"))
-    gathered = (joined.groupBy("_title")
-                .agg(F.array_sort(F.collect_list(F.struct("_pos", "_r"))).alias("_l"))
-                .select("_title", F.transform("_l", lambda e: e["_r"]).alias("readings")))
-    return (titles.join(gathered, titles[title_col] == gathered["_title"], "left").drop("_title")
-            .withColumn("readings", F.coalesce("readings", F.array().cast("array<array<string>>"))))
-
-
-def spellings(readings: Column | str) -> Column:
-    """Every combination of one reading per token, first token varying slowest.
-
-    The full product is built (no cap), as the original does; an empty
-    title has no spellings.
+    rows = titles.columns
+    counted = (titles.withColumn("_part", F.spark_partition_id())
+               .groupBy(*rows, "_part").agg(F.count(F.lit(1)).alias("_copies")))
+    toks = counted.select("*", F.posexplode_outer(title_tokens(title_col)).alias("_pos", "_tok"))
+    joined = toks.join(F.broadcast(readings_table(readings)), "_tok", "left")
+    entry = F.when(F.col("_pos").isNotNull(), F.struct("_pos", _reading_options(F.col("_tok"), F.col("_readings")).alias("_r")))
+    gathered = joined.groupBy(*rows, "_part", "_copies").agg(F.array_sort(F.collect_list(entry)).alias("_l"))
+    return gathered.select(*rows, F.transform("_l", lambda e: e["_r"]).alias("readings"),
+                           F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")).alias("_copy")).drop("_copy")
+
+
+# Spellings of one title that are numbered at a time.
+SPELLING_BLOCK = 100_000
+
+
+def spelling_count(readings: Column | str) -> Column:
+    """How many spellings a title has: the product of its reading counts, 0 for an empty title.
+
+    A product beyond 64 bits is an error, never a wrong number.
     """
     r = _c(readings)
-    product = F.aggregate(
-        r, F.array(F.lit("")),
-        lambda acc, opts: F.flatten(F.transform(acc, lambda a: F.transform(opts, lambda x: F.concat(a, x)))))
-    return F.when(F.size(r) > 0, product).otherwise(F.array().cast("array<string>"))
+    product = F.aggregate(r, F.lit(1).cast("bigint"), lambda n, opts: F.try_multiply(n, F.size(opts).cast("bigint")))
+    checked = F.coalesce(product, F.raise_error(F.lit("a title has more than 2^63 spellings")).cast("bigint"))
+    return F.when(F.size(r) > 0, checked).otherwise(F.lit(0).cast("bigint"))
+
+
+def spelling_at(readings: Column | str, number: Column | str) -> Column:
+    """Spelling ``number`` (from 0) of a title, the first token varying slowest.
+
+    The number is read as digits, one per token, in the mixed radix of the
+    reading counts: the last token's reading is the remainder.
+    """
+    start = F.struct(_c(number).cast("bigint").alias("left"), F.lit("").alias("text"))
+    last_first = F.reverse(_c(readings))
+
+    def take(state: Column, opts: Column) -> Column:
+        n = F.size(opts).cast("bigint")
+        digit = (state["left"] % n).cast("int")
+        return F.struct(F.call_function("div", state["left"], n).alias("left"),
+                        F.concat(F.get(opts, digit), state["text"]).alias("text"))
+
+    return F.aggregate(last_first, start, take, lambda state: state["text"])
 
 
 def spelling_rows(df: DataFrame, readings_col: str = "readings", out: str = "spelling",
-                  max_tokens: int | None = None) -> DataFrame:
-    """H24 as rows: one output row per spelling, built by one ``explode`` per token position.
-
-    Unlike ``spellings`` (one array per title), no row ever holds the whole
-    product: the generators stream rows, so a title whose readings multiply
-    into millions of spellings needs no more memory than one spelling, and
-    nothing is capped. ``max_tokens`` (the longest title, in tokens) is read
-    with one small aggregate when not given. Titles without tokens give no rows.
+                  position: str = "position") -> DataFrame:
+    """One row per combination of one reading per token, numbered from 0, the first token varying slowest.
+
+    The whole product comes out. The numbers of a title's spellings are
+    exploded in blocks and each spelling is built from its number, so the
+    plan is the same for titles of any length, and no row ever holds the
+    product. Titles without tokens give no rows.
     """
-    if max_tokens is None:
-        max_tokens = df.agg(F.max(F.size(readings_col))).first()[0] or 0
-    r = F.col(readings_col)
-    cur = df.where(F.size(r) > 0).withColumn(out, F.lit(""))
-    for i in range(max_tokens):
-        opts = F.when(F.size(r) > i, F.get(r, i)).otherwise(F.array(F.lit("")))
-        cur = cur.select("*", F.explode(opts).alias("_opt")).withColumn(out, F.concat(F.col(out), F.col("_opt"))).drop("_opt")
-    return cur
+    total = df.withColumn("_total", spelling_count(readings_col)).where(F.col("_total") > 0)
+    zero = F.lit(0).cast("bigint")
+    blocks = total.withColumn("_block", F.explode(F.sequence(zero, F.expr(f"(_total - 1) div {SPELLING_BLOCK}"))))
+    first = F.col("_block") * SPELLING_BLOCK
+    numbers = blocks.withColumn(position, F.explode(F.sequence(first, F.least(first + SPELLING_BLOCK, F.col("_total")) - 1)))
+    return numbers.withColumn(out, spelling_at(readings_col, position)).drop("_total", "_block")
 
 
 def search_code(readings: Column | str, length: int = config.SEARCH_CODE_LENGTH) -> Column:

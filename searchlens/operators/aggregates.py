@@ -85,12 +85,14 @@ def preference_shares(
     type_col: str = "content_type",
     bands: Iterable[tuple[str, Sequence[int]]] = config.BANDS,
     all_time: str | None = config.ALL_TIME,
+    count_col: str | None = None,
 ) -> DataFrame:
     """Share of each content type in a user's plays, per band.
 
     Columns: user, account, band, type, ``n``, ``score`` (n / plays of the
     user in that band), ``position`` (1 = largest share; ties by type). A
     band without plays has no rows. Plays without an account are skipped.
+    ``count_col``: the rows are counts of plays already, in that column.
 
     Plan: plays are counted per (user, account, hour, type) with map-side
     combine (shuffle 1); the small hourly rows are then hash-partitioned by
@@ -101,7 +103,7 @@ def preference_shares(
     bands = tuple(bands)
     hourly = (filter_account(plays, account_col)
               .groupBy(user_col, account_col, hour_col, type_col)
-              .agg(F.count(F.lit(1)).alias("n")))
+              .agg((F.sum(count_col) if count_col else F.count(F.lit(1))).alias("n")))
     is_str = isinstance(plays.schema[hour_col].dataType, StringType)
     by_band = (hourly.repartition(user_col, account_col)
                .withColumn("band", F.explode(band_names(hour_col, bands, all_time, is_str)))
@@ -128,13 +130,15 @@ def profile_documents(
     Each list holds at most as many entries as there are content types; an
     empty band becomes NULL, so ``to_json`` leaves it out.
     """
-    aggs = []
-    for band in band_order:
-        entry = F.when(F.col("band") == band, F.struct(F.col("position"), F.col(type_col).alias("contentType"), F.col("score")))
-        ranked = F.array_sort(F.collect_list(entry))
-        lst = F.transform(ranked, lambda e: F.struct(e["contentType"].alias("contentType"), e["score"].alias("score")))
-        aggs.append(F.when(F.size(lst) > 0, lst).alias(band))
-    return shares.groupBy(user_col, account_col).agg(*aggs)
+    entry = F.struct(F.col("band"), F.col("position"), F.col(type_col).alias("contentType"), F.col("score"))
+    gathered = shares.groupBy(user_col, account_col).agg(F.array_sort(F.collect_list(entry)).alias("_l"))
+
+    def ranked(band: str) -> Column:
+        own = F.filter("_l", lambda e: e["band"] == F.lit(band))
+        return F.when(F.size(own) > 0, F.transform(
+            own, lambda e: F.struct(e["contentType"].alias("contentType"), e["score"].alias("score")))).alias(band)
+
+    return gathered.select(user_col, account_col, *[ranked(b) for b in band_order])
 
 
 def table_profile(df: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """Category encoding (J1, J2) with Spark ML estimators.
 
-Fitting gathers one count per distinct label (the label vocabulary, not the
-rows); the transform runs row by row inside the JVM.
+Fitting gathers one count per distinct label on the driver (the label
+vocabulary, not the rows), so its size is checked first; the transform runs
+row by row inside the JVM.
 """
 
 from __future__ import annotations
@@ -12,9 +13,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Labels a fitted vocabulary may have.
+MAX_LABELS = 100_000
+
+
 def index_categories(df: DataFrame, input_col: str, output_col: str = "category_index",
-                     order: str = "frequencyDesc") -> DataFrame:
-    """Label index by falling frequency (ties alphabetical); the most frequent label is 0."""
+                     order: str = "frequencyDesc", max_labels: int = MAX_LABELS) -> DataFrame:
+    """Label index by falling frequency (ties alphabetical); the most frequent label is 0.
+
+    A column with more than ``max_labels`` labels is refused: it is not a category.
+    """
+    if df.select(input_col).distinct().limit(max_labels + 1).count() > max_labels:
+        raise ValueError(f"{input_col} has more than {max_labels} labels")
     model = StringIndexer(inputCol=input_col, outputCol=output_col, stringOrderType=order).fit(df)
     return model.transform(df)
 

@@ -2,9 +2,7 @@
 
 Join strategy is Catalyst's: with AQE on, a catalog whose runtime size is
 under ``spark.sql.autoBroadcastJoinThreshold`` is broadcast, a larger one is
-sort-merge joined with skewed partitions split. ``F.broadcast`` is used only
-for tables whose row count is bounded by a parameter (one row per content
-type of a given list).
+sort-merge joined with skewed partitions split. Nothing here forces a broadcast.
 """
 
 from __future__ import annotations
@@ -45,10 +43,10 @@ def join_scores_by_id(scores: DataFrame, catalog: DataFrame, code_col: str = "si
 def join_type_means(counts: DataFrame, means: DataFrame, type_col: str = "content_type") -> DataFrame:
     """Per-video counts with their type's mean.
 
-    ``means`` has one row per content type of a fixed type list, so it is
-    broadcast.
+    ``means`` has one row per content type; Spark broadcasts it when its size
+    is under the threshold.
     """
-    return counts.join(F.broadcast(means), type_col)
+    return counts.join(means, type_col)
 
 
 def keep_valid(left: DataFrame, valid: DataFrame, left_col: str = "sid", valid_col: str = "sid") -> DataFrame:

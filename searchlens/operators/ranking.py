@@ -1,6 +1,6 @@
 """Top-k and seeded samples.
 
-``row_number() <= k`` over a window is planned by Spark as a
+``row_number() <= k`` over a grouped window is planned by Spark as a
 ``WindowGroupLimit``: each map task keeps only its k best rows per group
 before the shuffle, so a group as large as a whole content type sends k
 rows per task, not all its rows. Every order ends in a full tie-break so
@@ -19,16 +19,26 @@ def _orders(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
+# Up to this many rows per group Spark limits before the shuffle; beyond it would rank whole groups.
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
 def top_k(df: DataFrame, k: int, order: Sequence[Column | str], group: Sequence[str] = (),
           rank_col: str = "rank") -> DataFrame:
     """The first ``k`` rows of each group (or of all rows) by ``order``, ranked from 1.
 
-    Without ``group`` Spark plans the filter as ``TakeOrderedAndProject``
-    (or a partial ``WindowGroupLimit``): each task keeps its k best rows
-    before the single-partition step, so at most k x tasks rows meet in one
-    place.
+    Without ``group`` the rows are limited first (``TakeOrderedAndProject``:
+    each task keeps its k best rows), and only those k are numbered. With
+    ``group``, Spark limits before the shuffle up to a threshold that is a
+    session setting; it is raised to ``k`` where it is lower.
     """
-    w = Window.partitionBy(*group).orderBy(*_orders(order)) if group else Window.orderBy(*_orders(order))
+    if not group:
+        return df.orderBy(*_orders(order)).limit(k).withColumn(
+            rank_col, F.row_number().over(Window.orderBy(*_orders(order))))
+    conf = df.sparkSession.conf
+    if int(conf.get(GROUP_LIMIT)) < k:
+        conf.set(GROUP_LIMIT, str(k))
+    w = Window.partitionBy(*group).orderBy(*_orders(order))
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
 
 
@@ -38,11 +48,15 @@ def seeded_key(seed: int | str, key: Column | str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), k.cast("string")))
 
 
+def seeded_order(df: DataFrame, seed: int | str, key: str = "sid") -> list[Column]:
+    """Seeded hash order of the key, with the whole row as the tie-break."""
+    return [seeded_key(seed, key), F.col(key)] + [F.col(c) for c in df.columns if c != key]
+
+
 def seeded_sample(df: DataFrame, k: int, seed: int | str, key: str = "sid", group: Sequence[str] = (),
                   rank_col: str = "rank") -> DataFrame:
     """``k`` rows per group (or overall) drawn without replacement in seeded hash order.
 
     Rows whose key repeats keep their whole-row order as a tie-break.
     """
-    order = [seeded_key(seed, key), F.col(key)] + [F.col(c) for c in df.columns if c != key]
-    return top_k(df, k, order, group, rank_col)
+    return top_k(df, k, seeded_order(df, seed, key), group, rank_col)

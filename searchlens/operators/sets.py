@@ -1,4 +1,4 @@
-"""Set operations."""
+"""Set operations."""
 
 from __future__ import annotations
 
@@ -13,11 +13,6 @@ def union_logs(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def distinct_rows(df: DataFrame) -> DataFrame:
-    """Distinct rows."""
-    return df.distinct()
-
-
 def union_with_type(programs: DataFrame, subjects: DataFrame, subject_type: str, type_col: str = "content_type") -> DataFrame:
     """Programs plus subjects, the latter with a constant content type."""
     return programs.unionByName(subjects.withColumn(type_col, F.lit(subject_type)).select(*programs.columns))

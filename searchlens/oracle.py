@@ -8,20 +8,21 @@ Spark's; every computed column has the same alias as on the Spark side.
 from __future__ import annotations
 
 from . import config
-from .operators.filters import window_start
-from .registry import (
-    ALL, GAP_ORIGIN, LONG, MIRROR_TOPICS, PLAY_AS_OF, PLAY_DAYS, SAMPLE_SEED, SEARCH_AS_OF, SEARCH_DAYS, SHORT,
-    SHORT_LONG, VOICE_AS_OF, WINDOW_AS_OF, WINDOW_DAYS,
-)
-from .operators.filters import day_add
+from .registry import ALL, GAP_ORIGIN, LONG, MIRROR_TOPICS, SAMPLE_SEED, SEARCH_AS_OF, SHORT, SHORT_LONG
 
 VIEWS = {
-    "catalog": """SELECT p_partkey AS id, CAST(p_partkey AS STRING) AS sid, lower(p_type) AS content_type,
-  CASE WHEN p_partkey % 13 = 0 THEN NULL WHEN p_partkey % 11 = 0 THEN concat('"', p_name, '"') ELSE p_name END AS title,
+    "base_catalog": """SELECT p_partkey AS id, CAST(p_partkey AS STRING) AS sid, lower(p_type) AS content_type,
+  CASE WHEN p_partkey % 13 = 0 THEN NULL WHEN p_partkey % 11 = 0 THEN concat('"', name, '"') ELSE name END AS title,
   1 AS type, CASE WHEN p_size % 7 = 0 THEN 0 ELSE 1 END AS status, p_size % 3 AS video_type,
   CASE WHEN p_size > 40 THEN 1 ELSE 0 END AS app_version_flag,
   CASE WHEN p_size % 10 = 0 THEN 1 ELSE 0 END AS risk_flag
-FROM part""",
+FROM (SELECT *, CASE WHEN p_partkey % 3 = 0 THEN p_name
+    ELSE concat(substr('行乐长重好', CAST(p_partkey % 5 + 1 AS INT), 1), substr('行乐长重好', CAST(p_partkey // 5 % 5 + 1 AS INT), 1), p_name) END AS name FROM part)""",
+    "catalog": """SELECT * FROM base_catalog
+UNION ALL SELECT id + 1000000000 AS id, sid, content_type, title || ' II' AS title, type, status, video_type, app_version_flag,
+  risk_flag FROM base_catalog WHERE id % 50 = 0
+UNION ALL SELECT id + 2000000000 AS id, sid, content_type, title, type, status, video_type, app_version_flag, risk_flag
+  FROM base_catalog WHERE id % 75 = 0""",
     "play_log": """SELECT e.event_id,
   CASE WHEN e.event_id % 15 = 0 THEN NULL WHEN e.event_id % 7 = 0 THEN substr(md5(CAST(e.user_id AS STRING)), 1, 16)
        ELSE md5(CAST(e.user_id AS STRING)) END AS user_id,
@@ -53,14 +54,15 @@ FROM part""",
     "score_matrix": """SELECT regexp_extract(e.props, '([0-9]+)', 1) AS sid_or_subject_code, lower(p.p_type) AS content_type, e.value AS score,
   CAST(year(e.ts) * 10000 + month(e.ts) * 100 + day(e.ts) AS INT) AS partition_tag
 FROM events e JOIN part p ON p.p_partkey = CAST(regexp_extract(e.props, '([0-9]+)', 1) AS BIGINT)""",
-    "readings": """SELECT * FROM (VALUES ('行', ['hang', 'xing']), ('乐', ['le', 'yue'])) r(ch, readings)""",
+    "readings": """SELECT * FROM (VALUES ('行', ['hang', 'xing']), ('乐', ['le', 'yue']), ('长', ['chang', 'zhang']),
+  ('重', ['zhong', 'chong'])) r(ch, readings)""",
     "subjects": """SELECT 'subject-' || CAST(s_suppkey AS STRING) AS sid, s_name AS title,
   CASE WHEN s_acctbal >= 0 THEN 1 ELSE 0 END AS status FROM supplier""",
     "search_play": "SELECT * FROM search_log WHERE log_type = 'play'",
     "search_detail": "SELECT * FROM search_log WHERE log_type = 'detail'",
 }
 # CTEs that read other CTEs.
-DEPENDS = {"search_play": ["search_log"], "search_detail": ["search_log"]}
+DEPENDS = {"search_play": ["search_log"], "search_detail": ["search_log"], "catalog": ["base_catalog"]}
 
 
 def _in(types) -> str:
@@ -76,13 +78,15 @@ def sql(views: list[str], body: str, *ctes: tuple[str, str]) -> str:
         if v not in names:
             names.append(v)
     parts = [f"{v} AS ({VIEWS[v]})" for v in names] + [f"{n} AS ({q})" for n, q in ctes]
-    return "WITH " + ",\n".join(parts) + "\n" + body
+    return "WITH RECURSIVE " + ",\n".join(parts) + "\n" + body
 
 
-SEARCH_START = window_start(SEARCH_AS_OF, SEARCH_DAYS)
-PLAY_START = window_start(PLAY_AS_OF, PLAY_DAYS)
-WINDOW_START = window_start(WINDOW_AS_OF, WINDOW_DAYS)
-VOICE_DAY = day_add(VOICE_AS_OF, -1)
+# Window starts and the voice job's day, written out: 20011104 less 2600 days, 20240130 less 30,
+# 20240120 less 3, and the day before 20240131.
+SEARCH_START = "19940922"
+PLAY_START = "20231231"
+WINDOW_START = "20240117"
+VOICE_DAY = "20240130"
 
 IDENTITY = "((user_id IS NOT NULL AND length(user_id) = 32) OR account_id IS NOT NULL)"
 PRESENT_SID = "sid IS NOT NULL AND length(sid) > 0"
@@ -132,7 +136,7 @@ HOT_TOTAL = f"""SELECT rank, sid, search_code, title, content_type, num FROM (
 
 def _lines(rollup_ctes: list[tuple[str, str]], views: list[str]) -> str:
     body = f"""SELECT content_type, rank,
-  concat_ws('||', title, search_code, sid, content_type, CAST(status AS STRING), CAST(num AS STRING), '{SEARCH_AS_OF[:4]}-{SEARCH_AS_OF[4:6]}-{SEARCH_AS_OF[6:]}') AS line
+  concat_ws('||', title, search_code, sid, content_type, CAST(coalesce(status, 0) AS STRING), CAST(num AS STRING), '{SEARCH_AS_OF[:4]}-{SEARCH_AS_OF[4:6]}-{SEARCH_AS_OF[6:]}') AS line
 FROM (SELECT *, CAST(row_number() OVER (PARTITION BY content_type ORDER BY {HOT_ORDER}) AS INTEGER) AS rank
       FROM rollup WHERE content_type IN {_in(ALL)}) WHERE rank <= 20"""
     return sql(views, body, *rollup_ctes)
@@ -202,6 +206,7 @@ def _code_ctes(src: str) -> list[tuple[str, str]]:
 
 
 Q: dict[str, str] = {}
+_HOME = "home-(" + "|".join(f"{t}-" for t in ("movie", "tv", "zongyi", "comic", "jilu", "hot", "xiqu", "mv", "kids", "game")) + ")(search-)?([A-Z]+)"
 
 Q["scan_play_log"] = sql(["play_log"], ASSOC_PLAYS)
 Q["scan_catalog"] = sql(["catalog"], f"SELECT sid, content_type FROM catalog WHERE content_type IN {_in(ALL)}")
@@ -214,6 +219,8 @@ Q["filter_identity"] = sql(["play_log"], f"SELECT event_id, user_id, account_id
 Q["filter_search_text"] = sql(["search_log"], f"SELECT * FROM search_log WHERE {PRESENT_TEXT}")
 Q["filter_window"] = sql(["play_log"], f"SELECT event_id, key_day FROM play_log WHERE key_day > {WINDOW_START}")
 Q["filter_valid_play"] = sql(["play_log"], f"SELECT event_id, sid, content_type, duration, event FROM play_log WHERE {VALID_PLAY}")
+Q["filter_valid_play_any_event"] = sql(["play_log"], """SELECT event_id, sid, content_type, duration FROM play_log
+WHERE duration IS NOT NULL AND duration > 300 AND duration < 7200""")
 Q["filter_catalog"] = sql(["catalog"], PLAYABLE)
 Q["parse_editorial"] = sql(["editorial_lines"], """SELECT parts[1] AS sid, parts[2] AS content_type, parts[3] AS title,
   parts[4] AS search_text FROM (SELECT string_split(value, chr(9)) AS parts FROM editorial_lines) WHERE len(parts) >= 4""")
@@ -247,6 +254,14 @@ Q["hot_total"] = _hot(True, True, HOT_TOTAL)
 Q["hot_lines"] = HOT_LINES
 Q["hot_lines_split_types"] = HOT_LINES_SPLIT
 
+Q["hot_by_type_three_logs"] = sql(["catalog", "search_play", "search_detail", "path_log"], HOT_BY_TYPE,
+  ("third", f"""SELECT l.user_id, nullif(regexp_extract(p.path, '{_HOME}', 3), '') AS search_text, l.content_type, l.sid, l.key_day
+  FROM search_log l JOIN path_log p ON p.sid = l.sid"""),
+  ("rows_", " UNION ALL ".join("SELECT DISTINCT * FROM (" + _search_rows(v, SHORT_LONG, user=True) + ")"
+                               for v in ("search_play", "search_detail", "third"))),
+  ("counts", "SELECT search_text, content_type, sid, count(*) AS num FROM rows_ GROUP BY ALL"),
+  ("titles", TITLES_RISK_FREE), ("rollup", ROLLUP))
+
 Q["assoc_top_videos"] = _assoc_top(True, "sid")
 Q["assoc_top_videos_all_versions"] = _assoc_top(False, "sid")
 Q["assoc_top_videos_by_id"] = _assoc_top(False, "id")
@@ -279,6 +294,13 @@ FROM both_ b LEFT JOIN codes k ON k.title = b.title""",
                               ("both_", """SELECT sid, content_type, title FROM catalog WHERE sid IS NOT NULL AND title IS NOT NULL AND status = 1
                  UNION ALL SELECT sid, 'course_subject', title FROM subjects WHERE sid IS NOT NULL AND title IS NOT NULL AND status = 1"""),
                               *_code_ctes("both_"))
+_KIDS_BOTH = """SELECT sid, content_type, title FROM (SELECT * FROM catalog WHERE sid IS NOT NULL AND title IS NOT NULL AND status = 1
+                 ORDER BY id LIMIT 30)
+                 UNION ALL SELECT sid, 'course_subject', title FROM subjects WHERE sid IS NOT NULL AND title IS NOT NULL AND status = 1"""
+Q["kids_catalog_codes_first"] = sql(["catalog", "subjects", "readings"], """SELECT b.sid, b.content_type, b.title, k.search_code
+FROM both_ b LEFT JOIN codes k ON k.title = b.title""", ("both_", _KIDS_BOTH), *_code_ctes("both_"))
+Q["editorial_rejects"] = sql(["editorial_lines"], """SELECT value, CAST(len(string_split(value, chr(9))) AS INTEGER) AS n_fields
+FROM editorial_lines WHERE len(string_split(value, chr(9))) < 4""")
 Q["kids_play_rank"] = sql(["catalog", "play_log", "readings"], """SELECT v.sid, v.content_type, v.title, k.search_code, v.num
 FROM valid_counts v LEFT JOIN codes k ON k.title = v.title""",
                           ("kids_play", """SELECT p.user_id, p.sid AS parent_sid, c.title AS parent_title, c.content_type, p.key_day AS day_p
@@ -291,7 +313,6 @@ FROM valid_counts v LEFT JOIN codes k ON k.title = v.title""",
                  (SELECT sid FROM catalog WHERE status = 1 AND video_type = 0)"""),
                           *_code_ctes("valid_counts"))
 
-_HOME = "home-(" + "|".join(f"{t}-" for t in ("movie", "tv", "zongyi", "comic", "jilu", "hot", "xiqu", "mv", "kids", "game")) + ")(search-)?([A-Z]+)"
 Q["path_code_home"] = sql(["path_log"], f"SELECT sid, nullif(regexp_extract(path, '{_HOME}', 3), '') AS search_code FROM path_log")
 Q["path_code_search"] = sql(["path_log"], "SELECT sid, nullif(regexp_extract(path, 'search*([A-Z]+)', 1), '') AS search_code FROM path_log")
 Q["log_dates"] = """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS cn_datetime,
@@ -307,15 +328,20 @@ Q["calendar"] = f"""SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day,
   strftime(o_orderdate - INTERVAL 6 DAY, '%Y-%m-%d') || '~' || strftime(o_orderdate, '%Y-%m-%d') AS week_range,
   CAST(date_diff('day', DATE '{GAP_ORIGIN[:4]}-{GAP_ORIGIN[4:6]}-{GAP_ORIGIN[6:]}', CAST(o_orderdate AS DATE)) AS INTEGER) AS days_gap,
   strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS moment, strftime(o_orderdate, '%Y-%m-%d') || ' 23:59:59' AS end_of_day,
+  strftime(o_orderdate, '%Y-%m-%d %H:%M') AS minute,
   strftime(o_orderdate, '%H') AS hour
 FROM orders"""
 Q["title_language_flags"] = sql(["catalog"], "SELECT sid, coalesce(regexp_matches(title, '[一-龥]'), false) AS has_chinese FROM catalog")
 _TOKENS = "regexp_extract_all(regexp_replace(regexp_replace(title, '[^0-9a-zA-Z\\s一-龥]', '', 'g'), '^\\s+|\\s+$', '', 'g'), '([0-9]+|[a-zA-Z]+|[一-龥])', 1)"
 Q["title_tokens"] = sql(["catalog"], f"""SELECT sid, CAST(generate_subscripts(tokens, 1) - 1 AS INTEGER) AS position, unnest(tokens) AS token
 FROM (SELECT sid, {_TOKENS} AS tokens FROM catalog WHERE title IS NOT NULL)""")
-Q["title_spellings"] = sql(["catalog", "readings"], f"""SELECT c.sid, s.spelling FROM catalog c JOIN (
-  SELECT title, string_agg(lower(tok) || ' ', '' ORDER BY pos) AS spelling FROM toks GROUP BY title) s ON s.title = c.title""",
-                           *_code_ctes("catalog")[:1])
+Q["title_spellings"] = sql(["catalog", "readings"], """SELECT c.sid, s.idx AS position, s.spelling FROM catalog c
+JOIN spelt s ON s.title = c.title JOIN (SELECT title, max(pos) AS last FROM toks GROUP BY title) m ON m.title = s.title AND m.last = s.pos""",
+                           *_code_ctes("catalog")[:2],
+                           ("options", """SELECT title, pos, len(opts) AS n, unnest(opts) AS opt, generate_subscripts(opts, 1) AS k FROM tok_r"""),
+                           ("spelt", """SELECT DISTINCT title, CAST(0 AS BIGINT) AS pos, '' AS spelling, CAST(0 AS BIGINT) AS idx FROM toks
+  UNION ALL SELECT s.title, o.pos, s.spelling || lower(o.opt) || ' ', s.idx * o.n + o.k - 1
+  FROM spelt s JOIN options o ON o.title = s.title AND o.pos = s.pos + 1"""))
 Q["title_search_code"] = sql(["catalog", "readings"], "SELECT c.sid, k.search_code FROM catalog c LEFT JOIN codes k ON k.title = c.title",
                              *_code_ctes("catalog"))
 _INDEX = """SELECT content_type, CAST(row_number() OVER (ORDER BY count(*) DESC, content_type) - 1 AS DOUBLE) AS category_index,
@@ -328,17 +354,22 @@ FROM play_log p JOIN idx i ON i.content_type = p.content_type""", ("idx", _INDEX
 Q["topic_mirror"] = (f"SELECT event_type AS topic, CAST(event_id AS STRING) AS key, props AS value FROM events "
                      f"WHERE event_type IN {_in(MIRROR_TOPICS)}")
 
-Q["sql_functions"] = sql(["path_log"], f"""SELECT p.sid, nullif(regexp_extract(p.path, '{_HOME}', 3), '') AS home_code,
+Q["sql_functions"] = """SELECT o_orderkey, strftime(o_orderdate - INTERVAL 1 DAY, '%Y%m%d') AS day_before,
+  strftime(o_orderdate, '%Y-%m-%d') AS cn_date, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS cn_datetime,
+  strftime(o_orderdate, '%H') AS hour,
+  CASE WHEN o_orderkey > 0 THEN round(least(ln(CAST(o_orderkey AS DOUBLE)) / ln(1000.0) * 100.0, 100.0), 6) ELSE 100.0 END AS heat
+FROM orders"""
+Q["sql_path_functions"] = sql(["path_log", "catalog"], f"""SELECT p.sid, nullif(regexp_extract(p.path, '{_HOME}', 3), '') AS home_code,
   nullif(regexp_extract(p.path, 'search*([A-Z]+)', 1), '') AS search_code,
-  regexp_replace(regexp_replace(p.path, '[^0-9a-zA-Z\\s一-龥]', '', 'g'), '^\\s+|\\s+$', '', 'g') AS clean_path,
-  coalesce(regexp_matches(p.path, '[一-龥]'), false) AS has_chinese,
-  strftime(o.o_orderdate - INTERVAL 1 DAY, '%Y%m%d') AS day_before,
-  strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S') AS cn_datetime, strftime(o.o_orderdate, '%H') AS hour
-FROM path_log p JOIN orders o ON o.o_orderkey = CAST(p.sid AS BIGINT)""")
+  regexp_replace(regexp_replace(c.title, '[^0-9a-zA-Z\\s一-龥]', '', 'g'), '^\\s+|\\s+$', '', 'g') AS clean_title,
+  coalesce(regexp_matches(c.title, '[一-龥]'), false) AS has_chinese
+FROM path_log p JOIN catalog c ON c.sid = p.sid""")
+Q["log_retrieval_paths"] = sql(["search_log", "path_log"], f"""SELECT nullif(regexp_extract(p.path, '{_HOME}', 3), '') AS search_text,
+  l.content_type, l.sid, 1 AS num FROM search_log l JOIN path_log p ON p.sid = l.sid
+WHERE l.key_day > {SEARCH_START} AND l.content_type IN {_in(SHORT_LONG)}""")
 
-# --- payloads whose JSON holds only strings, integers and exact divisions ---
-# (heat and voice payloads carry logarithms and long double sums, whose last
-# digit may differ between engines; unit tests parse those back instead)
+# --- payloads: byte for byte where the JSON holds only strings, integers and exact divisions; heat and
+# voice messages carry logarithms and long sums, so their fields are compared, the score at 6 places ---
 
 def _split(q: str, head: str) -> tuple[str, str]:
     i = q.index(head)
@@ -384,4 +415,11 @@ Q["pref_payload"] = _prefs(f"""SELECT '{config.TOPIC_USER_TYPES}' AS topic,
   || coalesce(',"afternoon":' || {_band_json('afternoon')}, '') || coalesce(',"night":' || {_band_json('night')}, '') || '}}' AS value
 FROM prefs GROUP BY user_id, account_id""")
 
+_heat_ctes, _heat_scores = _split(Q["heat_score"], "SELECT c.sid, round(")
+Q["heat_payload"] = (_heat_ctes + ",\nscores AS (" + _heat_scores + ")\nSELECT '" + config.TOPIC_HEAT
+                     + "' AS topic, sid AS key, sid, score, 'vv' AS type FROM scores")
+_voice_ctes, _voice_scores = _split(Q["voice_scores"], "SELECT c.sid, c.title")
+Q["voice_payload"] = (_voice_ctes + ",\nscores AS (" + _voice_scores + ")\nSELECT '" + config.TOPIC_VOICE
+                      + "' AS topic, sid AS key, sid, title, content_type AS \"contentType\", score FROM scores")
+
 ORACLE_SQL = Q

@@ -1,9 +1,8 @@
 """Association jobs (K7-K9): most played videos per type, and each user's preferred types by time of day.
 
-Plays are counted per video before they meet the catalog, so the join sees
-one row per video instead of one per play. The preference profile is built
-from per-(user, account, hour, type) counts; see
-``operators.aggregates.preference_shares`` for its two-shuffle plan.
+Plays are counted before they meet the catalog: per video for the top
+lists, per (user, account, hour, video) for the profiles. No play crosses a
+join, and a video that a third of all plays are of is spread over its users.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..operators.aggregates import preference_shares, profile_documents
-from ..operators.filters import filter_catalog, present, valid_identity
+from ..operators.filters import filter_account, filter_catalog, present, valid_identity
 from ..operators.joins import join_catalog_type
 from ..operators.ranking import top_k
 from ..sinks.messages import document_message, message_frame, ranked_document
@@ -78,8 +77,10 @@ def preference_rows(play_log: DataFrame, catalog: DataFrame, as_of: str | int, d
                     types: Sequence[str] = config.ALL_VIDEO_TYPES,
                     bands=config.BANDS, all_time: str = config.ALL_TIME) -> DataFrame:
     """``user_id, account_id, band, content_type, n, score, position`` for all bands."""
-    plays = joined_plays(assoc_plays(play_log, as_of, days, types), playable_catalog(catalog, types))
-    return preference_shares(plays, "user_id", "account_id", "time", "content_type", bands, all_time)
+    plays = filter_account(assoc_plays(play_log, as_of, days, types))
+    counts = plays.groupBy("user_id", "account_id", "time", "sid").agg(F.count(F.lit(1)).alias("n"))
+    typed = joined_plays(counts, playable_catalog(catalog, types))
+    return preference_shares(typed, "user_id", "account_id", "time", "content_type", bands, all_time, count_col="n")
 
 
 def profile_payload(shares: DataFrame, topic: str = config.TOPIC_USER_TYPES,

@@ -14,37 +14,44 @@ from .. import config
 from ..functions.titles import search_code, title_readings
 from ..operators.filters import filter_since, present
 from ..operators.joins import keep_valid
-from ..operators.ranking import seeded_sample
+from ..operators.ranking import seeded_order, seeded_sample
 from ..operators.sets import union_with_type
 from ..sinks.messages import document_message, ranked_document
 
 EDITORIAL_OUT = ("content_type", "rank", "sid", "search_code", "title")
 
 
+def _named(parsed: DataFrame) -> DataFrame:
+    return parsed.withColumnRenamed("search_text", "search_code")
+
+
 def editorial_sample(parsed: DataFrame, seed: int = 42, k: int = config.TOP_N) -> DataFrame:
     """``k`` rows per content type: content_type, rank, sid, search_code, title."""
-    df = parsed.withColumnRenamed("search_text", "search_code")
-    return seeded_sample(df, k, seed, "sid", ["content_type"]).select(*EDITORIAL_OUT)
+    return seeded_sample(_named(parsed), k, seed, "sid", ["content_type"]).select(*EDITORIAL_OUT)
 
 
 def editorial_sample_total(parsed: DataFrame, seed: int = 42, k: int = config.TOP_N) -> DataFrame:
     """``k`` rows over all types: rank, sid, search_code, title, content_type."""
-    df = parsed.withColumnRenamed("search_text", "search_code")
-    return seeded_sample(df, k, seed, "sid").select("rank", "sid", "search_code", "title", "content_type")
+    return seeded_sample(_named(parsed), k, seed, "sid").select("rank", "sid", "search_code", "title", "content_type")
 
 
-def editorial_payload(by_type: DataFrame, total: DataFrame, topic: str = config.TOPIC_EDITORIAL) -> DataFrame:
-    """``{type: [{sid, searchCode, title, contentType}], ..., total: [...]}``."""
+def editorial_payload(parsed: DataFrame, seed: int = 42, topic: str = config.TOPIC_EDITORIAL,
+                      k: int = config.TOP_N) -> DataFrame:
+    """``{type: [{sid, searchCode, title, contentType}], ..., total: [...]}``.
+
+    The overall sample takes the first rows of the same seeded order as the
+    samples per type, so it is read off those.
+    """
     entry = F.struct(F.col("sid"), F.col("search_code").alias("searchCode"), F.col("title"),
                      F.col("content_type").alias("contentType"))
-    return document_message(ranked_document(by_type, "content_type", "rank", entry, total=total), topic)
+    named = _named(parsed)
+    top = seeded_sample(named, k, seed, "sid", ["content_type"])
+    return document_message(ranked_document(top, "content_type", "rank", entry, seeded_order(named, seed, "sid"), k), topic)
 
 
-def with_search_code(df: DataFrame, readings: DataFrame, title_col: str = "title",
-                     row_key: list[str] | None = None) -> DataFrame:
+def with_search_code(df: DataFrame, readings: DataFrame, title_col: str = "title") -> DataFrame:
     """Adds ``search_code`` (initials of the first spelling, at most four)."""
-    return (title_readings(df, readings, title_col, row_key)
-            .withColumn("search_code", search_code("readings")).drop("readings"))
+    return title_readings(df, readings, title_col).withColumn("search_code", search_code("readings")).drop("readings")
 
 
 def kids_catalog_codes(programs: DataFrame, subjects: DataFrame, readings: DataFrame,
@@ -79,6 +86,6 @@ def kids_play_rank(kids_play: DataFrame, valid_sids: DataFrame, readings: DataFr
                             "content_type").distinct()
     counts = distinct.groupBy("title", "content_type", "sid").agg(F.count(F.lit(1)).alias("num"))
     valid = keep_valid(counts, valid_sids)
-    coded = with_search_code(valid, readings, row_key=["title", "content_type", "sid"])
+    coded = with_search_code(valid, readings)
     return coded.select("sid", "content_type", "title", "search_code", "num").orderBy(
         F.desc("num"), F.asc("sid"), F.asc("title"), F.asc("content_type"))

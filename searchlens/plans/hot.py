@@ -1,10 +1,10 @@
 """Hot-word jobs (K1-K4): the most searched videos per content type.
 
 Plan of every variant: log scan with pushed filters -> count per
-(text, type, sid) with map-side combine -> join titles -> per-video rollup
-(argmax text, sum) with map-side combine -> per-type top-k as a
-``WindowGroupLimit``. The rollup has one row per video; several outputs of
-one job read it, so ``plans.jobs.run_hot`` cuts its lineage once with a checkpoint.
+(text, type, sid) with map-side combine -> rollup per video (argmax text,
+sum) with map-side combine -> join titles, one row per video by now ->
+per-type top-k as a ``WindowGroupLimit``. The overall top-k comes from the
+per-type ones, which hold it.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ from ..functions.scalars import joined_line
 from ..functions.titles import strip_quotes
 from ..operators.aggregates import search_counts, unique_searchers, video_rollup
 from ..operators.filters import filter_region, present
-from ..operators.joins import join_catalog_type, join_titles
 from ..operators.ranking import top_k
 from ..operators.sets import union_logs
 from ..sinks.messages import document_message, message_frame, ranked_document
@@ -41,9 +40,20 @@ def catalog_titles(catalog: DataFrame, risk_free: bool) -> DataFrame:
     return filter_region(catalog, risk_free).select("sid", strip_quotes("title").alias("title"), "status")
 
 
+def with_titles(rollup: DataFrame, catalog: DataFrame, risk_free: bool) -> DataFrame:
+    """D3 after E5: a row per catalog title and status of each rolled-up video.
+
+    A catalog row that is listed k times with the same title and status
+    counts k times, as joining before the rollup would make it.
+    """
+    titles = catalog_titles(catalog, risk_free).groupBy("sid", "title", "status").agg(F.count(F.lit(1)).alias("_copies"))
+    return rollup.join(titles, "sid").withColumn("num", F.col("num") * F.col("_copies")).select(
+        "sid", "content_type", "title", "status", "search_code", "num")
+
+
 def rollup_with_titles(counts: DataFrame, catalog: DataFrame, risk_free: bool) -> DataFrame:
-    """D3 + E5: columns sid, content_type, title, status, search_code, num."""
-    return video_rollup(join_titles(counts, catalog_titles(catalog, risk_free)))
+    """E5 + D3: columns sid, content_type, title, status, search_code, num."""
+    return with_titles(video_rollup(counts, ("sid", "content_type")), catalog, risk_free)
 
 
 # Ranking of videos: most searched first, then sid (full tie-break).
@@ -53,23 +63,38 @@ def hot_order() -> list[F.Column]:
 
 def hot_rollup(play_log: DataFrame, catalog: DataFrame, as_of: str | int, days: int = config.HOT_DAYS,
                types: Sequence[str] = config.SHORT_VIDEO_TYPES + config.LONG_VIDEO_TYPES,
-               unique: bool = True, risk_free: bool = True) -> DataFrame:
-    """K2/K3 up to the rollup: unique searchers (K2) or all searches (K3)."""
+               unique: bool = True, risk_free: bool = True, extra_logs: Sequence[DataFrame] = ()) -> DataFrame:
+    """K2/K3 up to the rollup: unique searchers (K2) or all searches (K3).
+
+    ``extra_logs`` (G5) are further logs of the same columns; a user is
+    unique within each log, and the logs' counts add up.
+    """
     cols = ("user_id",) + SEARCH_COLUMNS if unique else SEARCH_COLUMNS
-    rows = search_rows(play_log, types, as_of, days, cols)
-    counts = unique_searchers(rows) if unique else search_counts(rows)
+    logs = [search_rows(log, types, as_of, days, cols) for log in (play_log, *extra_logs)]
+    if unique and len(logs) == 1:
+        counts = unique_searchers(logs[0])
+    else:
+        counts = search_counts(union_logs(*[log.distinct() if unique else log for log in logs]))
     return rollup_with_titles(counts, catalog, risk_free)
 
 
+def hot_ranked(rollup: DataFrame, top_n: int = config.TOP_N) -> DataFrame:
+    """the top videos of each type, all columns of the rollup and ``rank``."""
+    return top_k(rollup, top_n, hot_order(), ["content_type"])
+
+
 def hot_by_type(rollup: DataFrame, top_n: int = config.TOP_N) -> DataFrame:
     """top videos per type: content_type, rank, sid, search_code, title, num."""
-    return top_k(rollup, top_n, hot_order(), ["content_type"]).select(
-        "content_type", "rank", "sid", "search_code", "title", "num")
+    return hot_ranked(rollup, top_n).select("content_type", "rank", "sid", "search_code", "title", "num")
 
 
 def hot_total(rollup: DataFrame, top_n: int = config.TOP_N) -> DataFrame:
-    """top videos over all types: rank, sid, search_code, title, content_type, num."""
-    return top_k(rollup, top_n, hot_order()).select("rank", "sid", "search_code", "title", "content_type", "num")
+    """top videos over all types: rank, sid, search_code, title, content_type, num.
+
+    Each is among the top of its own type by the same order, so only those are ranked.
+    """
+    return top_k(hot_ranked(rollup, top_n).drop("rank"), top_n, hot_order()).select(
+        "rank", "sid", "search_code", "title", "content_type", "num")
 
 
 def hot_entry() -> F.Column:
@@ -77,9 +102,9 @@ def hot_entry() -> F.Column:
                     F.col("content_type").alias("contentType"))
 
 
-def hot_payload(by_type: DataFrame, total: DataFrame, topic: str = config.TOPIC_HOT) -> DataFrame:
-    """K2/K3 message: ``{type: [{sid, searchCode, title, contentType}], ..., total: [...]}``."""
-    doc = ranked_document(by_type, "content_type", "rank", hot_entry(), total=total)
+def hot_payload(rollup: DataFrame, topic: str = config.TOPIC_HOT, top_n: int = config.TOP_N) -> DataFrame:
+    """K2/K3 message: ``{type: [{sid, searchCode, title, contentType}], ..., total: [...]}``, from one ranking."""
+    doc = ranked_document(hot_ranked(rollup, top_n), "content_type", "rank", hot_entry(), hot_order(), top_n)
     return document_message(doc, topic)
 
 
@@ -87,12 +112,14 @@ def hot_lines_from_rollup(rollup: DataFrame, as_of: str | int, types: Sequence[s
                           top_n: int = config.TOP_N) -> DataFrame:
     """F3 + H18: top videos of each listed type as ``title||code||sid||type||status||amount||date`` lines.
 
+    A missing status is 0.
+
     One ranking pass for all types; a type without rows gives no lines.
     """
     top = top_k(rollup.where(F.col("content_type").isin(list(types))), top_n, hot_order(), ["content_type"])
     day = add_days(F.lit(str(as_of).replace("-", "")), 0, "yyyy-MM-dd")
     return top.select("content_type", "rank",
-                      joined_line("title", "search_code", "sid", "content_type", "status", "num", day).alias("line"))
+                      joined_line("title", "search_code", "sid", "content_type", F.coalesce("status", F.lit(0)), "num", day).alias("line"))
 
 
 def hot_lines(detail_log: DataFrame, play_log: DataFrame, catalog: DataFrame, as_of: str | int,
@@ -100,13 +127,12 @@ def hot_lines(detail_log: DataFrame, play_log: DataFrame, catalog: DataFrame, as
               top_n: int = config.TOP_N) -> DataFrame:
     """K1: browse and play rows of all types; the catalog's type replaces the log's; line form."""
     rows = union_logs(search_rows(detail_log, types, as_of, days), search_rows(play_log, types, as_of, days))
-    # Count per (text, sid) before the catalog join: the join sees distinct pairs, not searches.
-    # The per-type sum keeps the (text, sid) partitioning, and sums the rows of a sid listed twice.
-    per_sid = rows.groupBy("search_text", "sid").agg(F.count(F.lit(1)).alias("num"))
-    typed = join_catalog_type(per_sid, catalog.where(F.col("content_type").isin(list(types))))
-    counts = typed.groupBy("search_text", "content_type", "sid").agg(F.sum("num").alias("num"))
-    rollup = rollup_with_titles(counts, catalog, risk_free=False)
-    return hot_lines_from_rollup(rollup, as_of, types, top_n)
+    counts = rows.groupBy("search_text", "sid").agg(F.count(F.lit(1)).alias("num"))
+    # One row per video meets the catalog: its types, each as often as it is listed, and then its titles.
+    kinds = catalog.where(F.col("content_type").isin(list(types))).groupBy("sid", "content_type").agg(
+        F.count(F.lit(1)).alias("_listed"))
+    typed = video_rollup(counts, ("sid",)).join(kinds, "sid").withColumn("num", F.col("num") * F.col("_listed"))
+    return hot_lines_from_rollup(with_titles(typed, catalog, risk_free=False), as_of, types, top_n)
 
 
 def hot_lines_split_types(detail_log: DataFrame, play_log: DataFrame, catalog: DataFrame, as_of: str | int,

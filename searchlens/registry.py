@@ -22,6 +22,7 @@ from .functions.sql import register_sql_functions
 from .operators import aggregates as A
 from .operators import filters as C
 from .operators.features import encode_categories, index_categories, vector_columns
+from .operators.joins import join_titles
 from .operators.sets import union_logs
 from .plans import association as assoc
 from .plans import editorial as ed
@@ -29,8 +30,8 @@ from .plans import heat
 from .plans import hot
 from .sources import fixtures as fx
 from .sources.catalog import read_catalog, scan_score_matrix
-from .sources.editorial import parse_editorial
-from .sources.logs import assoc_preset, log_retrieval
+from .sources.editorial import parse_editorial, short_lines
+from .sources.logs import assoc_preset, log_retrieval, path_search_preset
 from .streaming.mirror import mirror_messages
 
 LONG = fx.FIXTURE_LONG_TYPES
@@ -62,7 +63,7 @@ def _search_detail(spark, d):
 
 def _readings(spark: SparkSession) -> DataFrame:
     # A small pronunciation table (the dictionary itself is user data).
-    rows = [("行", ["hang", "xing"]), ("乐", ["le", "yue"])]
+    rows = [("行", ["hang", "xing"]), ("乐", ["le", "yue"]), ("长", ["chang", "zhang"]), ("重", ["zhong", "chong"])]
     return spark.createDataFrame(rows, "ch string, readings array<string>")
 
 
@@ -103,6 +104,13 @@ def q_log_retrieval(spark, d):
     return log_retrieval(fx.play_log(spark, d), PLAY_AS_OF, PLAY_DAYS, cond, fields, results)
 
 
+def q_log_retrieval_paths(spark, d):
+    """The preset that reads its search text from paths, over every day of a path log."""
+    log = fx.search_log(spark, d).select("sid", "content_type", "key_day").join(fx.path_log(spark, d), "sid")
+    fields, cond, results = path_search_preset(SHORT_LONG, config.HOME_PATH_TYPES)
+    return log_retrieval(log, SEARCH_AS_OF, SEARCH_DAYS, cond, fields, results)
+
+
 def q_filter_content_type(spark, d):
     return C.filter_content_type(fx.play_log(spark, d), LONG).select("event_id", "sid", "content_type")
 
@@ -123,6 +131,11 @@ def q_filter_valid_play(spark, d):
     return C.filter_valid_play(fx.play_log(spark, d)).select("event_id", "sid", "content_type", "duration", "event")
 
 
+def q_filter_valid_play_any_event(spark, d):
+    """The duration test alone."""
+    return C.filter_valid_play(fx.play_log(spark, d), event_col=None).select("event_id", "sid", "content_type", "duration")
+
+
 def q_filter_catalog(spark, d):
     return C.filter_catalog(fx.catalog(spark, d), ALL).select("id", "sid", "content_type")
 
@@ -145,7 +158,7 @@ def q_join_plays_catalog(spark, d):
 
 def q_join_counts_titles(spark, d):
     rows = hot.search_rows(_search_play(spark, d), SHORT_LONG, SEARCH_AS_OF, SEARCH_DAYS)
-    return hot.join_titles(A.search_counts(rows), hot.catalog_titles(fx.catalog(spark, d), risk_free=False))
+    return join_titles(A.search_counts(rows), hot.catalog_titles(fx.catalog(spark, d), risk_free=False))
 
 
 def q_union_logs(spark, d):
@@ -212,9 +225,18 @@ def q_hot_lines_split_types(spark, d):
                                      SEARCH_AS_OF, SEARCH_DAYS, LONG, SHORT, ALL)
 
 
+def q_hot_by_type_three_logs(spark, d):
+    """Unique searchers of three logs; the third reads its search text from the sid's path."""
+    log = fx.search_log(spark, d)
+    third = log.drop("search_text").join(fx.path_log(spark, d), "sid").withColumn(
+        "search_text", S.path_code_home("path", config.HOME_PATH_TYPES)).drop("path")
+    rollup = hot.hot_rollup(_search_play(spark, d), fx.catalog(spark, d), SEARCH_AS_OF, SEARCH_DAYS, SHORT_LONG,
+                            extra_logs=[_search_detail(spark, d), third.select(*log.columns)])
+    return hot.hot_by_type(rollup)
+
+
 def q_hot_payload(spark, d):
-    rollup = _rollup(spark, d, unique=True, risk_free=True)
-    return hot.hot_payload(hot.hot_by_type(rollup), hot.hot_total(rollup))
+    return hot.hot_payload(_rollup(spark, d, unique=True, risk_free=True))
 
 
 # --- association ---
@@ -275,19 +297,33 @@ def q_heat_score(spark, d):
     return heat.heat_scores(_views(spark, d)).select("sid", _r6("score"))
 
 
-def q_heat_payload(spark, d):
+def heat_messages(spark, d):
     return heat.heat_payload(heat.heat_scores(_views(spark, d)))
 
 
+def _read_back(messages: DataFrame, fields: str) -> DataFrame:
+    """Messages with the fields of their JSON value, the score at the compared precision."""
+    parsed = messages.select("topic", "key", F.from_json("value", fields).alias("m")).select("topic", "key", "m.*")
+    return parsed.withColumn("score", _r6("score"))
+
+
+def q_heat_payload(spark, d):
+    return _read_back(heat_messages(spark, d), "sid string, score double, type string")
+
+
 def q_voice_scores(spark, d):
     out = heat.voice_scores(fx.score_matrix(spark, d), fx.catalog(spark, d), VOICE_AS_OF, LONG)
     return out.select("sid", "title", "content_type", _r6("score"))
 
 
-def q_voice_payload(spark, d):
+def voice_messages(spark, d):
     return heat.voice_payload(heat.voice_scores(fx.score_matrix(spark, d), fx.catalog(spark, d), VOICE_AS_OF, LONG))
 
 
+def q_voice_payload(spark, d):
+    return _read_back(voice_messages(spark, d), "sid string, title string, contentType string, score double")
+
+
 # --- editorial, kids ---
 
 def _editorial(spark, d):
@@ -303,14 +339,22 @@ def q_editorial_sample_total(spark, d):
 
 
 def q_editorial_payload(spark, d):
-    parsed = _editorial(spark, d)
-    return ed.editorial_payload(ed.editorial_sample(parsed, SAMPLE_SEED), ed.editorial_sample_total(parsed, SAMPLE_SEED))
+    return ed.editorial_payload(_editorial(spark, d), SAMPLE_SEED)
+
+
+def q_editorial_rejects(spark, d):
+    return short_lines(fx.editorial_lines(spark, d))
 
 
 def q_kids_catalog_codes(spark, d):
     return ed.kids_catalog_codes(fx.catalog(spark, d), _subjects(spark, d), _readings(spark))
 
 
+def q_kids_catalog_codes_first(spark, d):
+    """the original's limit of 30 programs, first by id."""
+    return ed.kids_catalog_codes(fx.catalog(spark, d), _subjects(spark, d), _readings(spark), limit=30)
+
+
 def q_kids_play_rank(spark, d):
     valid = fx.catalog(spark, d).where((F.col("status") == 1) & (F.col("video_type") == 0)).select("sid")
     return ed.kids_play_rank(_kids_play(spark, d), valid, _readings(spark), "20240101")
@@ -352,6 +396,7 @@ def q_calendar(spark, d):
         D.week_range("o_orderdate").alias("week_range"),
         D.days_gap(ymd, F.lit(GAP_ORIGIN)).alias("days_gap"),
         D.format_moment("o_orderdate").alias("moment"),
+        D.format_moment("o_orderdate", D.MINUTE_FORMAT).alias("minute"),
         D.format_moment("o_orderdate", D.END_OF_DAY_FORMAT).alias("end_of_day"),
         D.hour_of(D.format_moment("o_orderdate")).alias("hour"),
     )
@@ -366,11 +411,11 @@ def q_title_tokens(spark, d):
 
 
 def _title_readings(spark, d):
-    return T.title_readings(fx.catalog(spark, d).select("sid", "title"), _readings(spark), row_key=["sid"])
+    return T.title_readings(fx.catalog(spark, d).select("sid", "title"), _readings(spark))
 
 
 def q_title_spellings(spark, d):
-    return T.spelling_rows(_title_readings(spark, d)).select("sid", "spelling")
+    return T.spelling_rows(_title_readings(spark, d)).select("sid", "position", "spelling")
 
 
 def q_title_search_code(spark, d):
@@ -378,15 +423,24 @@ def q_title_search_code(spark, d):
 
 
 def q_sql_functions(spark, d):
-    """The helpers called from SQL text over the path and access-log views."""
+    """The date and score helpers called from SQL text, over every order."""
+    register_sql_functions(spark, prefix="sl_")
+    return spark.sql(
+        "SELECT t.o_orderkey, sl_day_add(date_format(t.o_orderdate, 'yyyyMMdd'), -1) AS day_before, "
+        "sl_en_to_cn_date(t.en_time) AS cn_date, sl_en_to_cn_datetime(t.en_time) AS cn_datetime, "
+        "sl_hour_of(sl_en_to_cn_datetime(t.en_time)) AS hour, "
+        "round(sl_heat_score(CAST(t.o_orderkey AS DOUBLE), 1000.0D), 6) AS heat "
+        "FROM {times} t", times=fx.access_log_times(spark, d))
+
+
+def q_sql_path_functions(spark, d):
+    """The path and title helpers called from SQL text, over every path with its catalog titles."""
     register_sql_functions(spark, prefix="sl_")
     return spark.sql(
         "SELECT p.sid, sl_path_code_home(p.path) AS home_code, sl_path_code_search(p.path) AS search_code, "
-        "sl_clean_title(p.path) AS clean_path, sl_has_chinese(p.path) AS has_chinese, "
-        "sl_day_add(date_format(t.o_orderdate, 'yyyyMMdd'), -1) AS day_before, "
-        "sl_en_to_cn_datetime(t.en_time) AS cn_datetime, sl_hour_of(sl_en_to_cn_datetime(t.en_time)) AS hour "
-        "FROM {paths} p JOIN {times} t ON t.o_orderkey = CAST(p.sid AS BIGINT)",
-        paths=fx.path_log(spark, d), times=fx.access_log_times(spark, d))
+        "sl_clean_title(c.title) AS clean_title, sl_has_chinese(c.title) AS has_chinese "
+        "FROM {paths} p JOIN {titles} c ON c.sid = p.sid",
+        paths=fx.path_log(spark, d), titles=fx.catalog(spark, d))
 
 
 # --- features, stream ---

@@ -1,15 +1,14 @@
-"""Session settings and lineage cuts.
+"""Session settings.
 
-On a cluster the session comes from ``spark-submit`` and these helpers only
-read it. ``local_session`` is for tests and the benchmark.
+On a cluster the session comes from ``spark-submit``; ``apply_job_conf`` sets
+what every job relies on. ``local_session`` is for tests and the benchmark.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings every job relies on: AQE re-plans joins (broadcast when the
 # runtime size is small, skew split otherwise) and coalesces partitions.
@@ -41,34 +40,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, allow_local: bool = False) -> str:
-    """Shared folder for reliable checkpoints, from ``spark.checkpoint.dir``.
-
-    A cluster names it; only tests (``allow_local=True``) may fall back to a
-    fresh local folder, and only when the setting is absent.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if not configured:
-        if not allow_local:
-            raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for checkpoints")
-        configured = tempfile.mkdtemp(prefix="searchlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    sc.setCheckpointDir(configured)
-    return configured
-
-
-def cut_lineage(df: DataFrame, allow_local: bool = False) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
-
-    Used where one intermediate feeds several outputs: a lost executor then
-    re-reads the checkpoint instead of recomputing the whole plan.
-    """
-    checkpoint_dir(df.sparkSession, allow_local=allow_local)
-    return df.checkpoint(eager=True)
+def apply_job_conf(spark: SparkSession) -> None:
+    """Set ``JOB_CONF`` on a running session."""
+    for k, v in JOB_CONF.items():
+        spark.conf.set(k, v)
 
 
 def cluster_conf(input_bytes: int, shuffle_fraction: float = 0.1, scan_split_bytes: int = 1 << 30,

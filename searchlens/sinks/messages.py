@@ -8,9 +8,9 @@ type, then one row over at most (types + 1) lists. Nothing is collected.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -20,34 +20,38 @@ def message_frame(df: DataFrame, topic: str, value: Column, key: Column | None =
     return df.select(F.lit(topic).alias("topic"), k.alias("key"), value.cast("string").alias("value"))
 
 
-def ranked_lists(top: DataFrame, group_col: str, rank_col: str, entry: Column) -> DataFrame:
-    """Per group, the entries in rank order, as ``(group, items)``."""
-    return (top.groupBy(group_col)
-            .agg(F.array_sort(F.collect_list(F.struct(F.col(rank_col).alias("_rank"), entry.alias("_entry")))).alias("_l"))
-            .select(F.col(group_col).alias("_group"), F.transform("_l", lambda e: e["_entry"]).alias("items")))
-
-
 def ranked_document(
     top_by_group: DataFrame,
     group_col: str,
     rank_col: str,
     entry: Column,
-    total: DataFrame | None = None,
+    total_order: Sequence[Column | str] = (),
+    total_n: int = 0,
     total_key: str = "total",
 ) -> DataFrame:
     """One JSON object ``{group: [entry, ...], ..., total: [...]}`` as column ``value``.
 
-    Groups are in ascending order, then ``total_key``. ``total`` is a frame
-    of already-ranked rows (column ``rank_col``) over all groups.
+    Groups are in ascending order, then ``total_key``: the first ``total_n``
+    of all rows by ``total_order``. When each group's rows are its best by
+    that same order, those are the best of the whole input too, so the total
+    needs no pass of its own over the input.
     """
-    lists = ranked_lists(top_by_group, group_col, rank_col, entry)
-    if total is not None:
-        tot = ranked_lists(total.withColumn("_all", F.lit(total_key)), "_all", rank_col, entry)
-        lists = lists.select(F.lit(0).alias("_o"), "_group", "items").unionByName(tot.select(F.lit(1).alias("_o"), "_group", "items"))
+    top = top_by_group
+    if total_order:
+        place = F.row_number().over(Window.orderBy(*[F.col(o) if isinstance(o, str) else o for o in total_order]))
+        top = top.withColumn("_place", place)
+        in_total = F.when(F.col("_place") <= total_n, F.struct(F.col("_place"), entry.alias("_entry")))
     else:
-        lists = lists.select(F.lit(0).alias("_o"), "_group", "items")
-    doc = lists.agg(F.array_sort(F.collect_list(F.struct("_o", "_group", "items"))).alias("_l"))
-    return doc.select(F.to_json(F.map_from_entries(F.transform("_l", lambda e: F.struct(e["_group"], e["items"])))).alias("value"))
+        in_total = F.when(F.lit(False), F.struct(F.lit(0).alias("_place"), entry.alias("_entry")))
+    item = F.struct(F.col(rank_col).alias("_rank"), entry.alias("_entry"))
+    lists = top.groupBy(F.col(group_col).alias("_group")).agg(
+        F.array_sort(F.collect_list(item)).alias("_items"), F.collect_list(in_total).alias("_total"))
+    doc = lists.agg(F.array_sort(F.collect_list(F.struct("_group", "_items"))).alias("_l"),
+                    F.array_sort(F.flatten(F.collect_list("_total"))).alias("_t"))
+    groups = F.transform("_l", lambda e: F.struct(e["_group"].alias("k"), F.transform(e["_items"], lambda x: x["_entry"]).alias("v")))
+    total = F.transform(F.array(F.col("_t")), lambda t: F.struct(F.lit(total_key).alias("k"), F.transform(t, lambda x: x["_entry"]).alias("v")))
+    total = F.filter(total, lambda e: F.size(e["v"]) > 0)
+    return doc.select(F.to_json(F.map_from_entries(F.concat(groups, total))).alias("value"))
 
 
 def document_message(doc: DataFrame, topic: str, key: str | None = None) -> DataFrame:
@@ -66,7 +70,8 @@ def write_messages(
 
     ``fmt="kafka"`` needs the Kafka connector on the class path and a
     ``kafka.bootstrap.servers`` option; any file format (``json``,
-    ``parquet``) writes to ``path`` partitioned by topic.
+    ``parquet``) writes to ``path`` partitioned by topic. ``mode="overwrite"``
+    replaces the files of the topics that are written, and of no other.
     """
     w = messages.write.format(fmt).mode(mode)
     for k, v in (options or {}).items():
@@ -74,4 +79,4 @@ def write_messages(
     if fmt == "kafka":
         w.save()
     else:
-        w.partitionBy("topic").save(path)
+        w.option("partitionOverwriteMode", "dynamic").partitionBy("topic").save(path)

@@ -18,19 +18,9 @@ FIXTURE_SHORT_TYPES = ("small", "standard")
 FIXTURE_ALL_TYPES = ("economy", "large", "medium", "promo", "small", "standard", "sports")
 
 
-_SCHEMAS: dict[str, object] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. Its schema is inferred once per path and then given
-    explicitly, so later reads plan without a footer-reading job."""
-    path = f"{sf_dir}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _day_int(ts: Column) -> Column:
@@ -41,17 +31,28 @@ def _props_sid(props: Column) -> Column:
     return F.regexp_extract(props, r"([0-9]+)", 1)
 
 
+# Characters that stand at the head of two titles in three (the last has no reading).
+FIXTURE_CHARACTERS = "行乐长重好"
+
+
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Video catalog: NULL and quoted titles, offline, risk and newer-version rows."""
+    """Video catalog: Chinese, NULL and quoted titles, offline, risk and newer-version rows, and repeated sids.
+
+    Every 50th sid is listed a second time under another title, every 75th
+    a second time under the same one; ids do not repeat.
+    """
     p = read_table(spark, sf_dir, "part")
     key, size = F.col("p_partkey"), F.col("p_size")
-    return p.select(
+    first = F.expr(f"substring('{FIXTURE_CHARACTERS}', CAST(p_partkey % 5 + 1 AS INT), 1)")
+    second = F.expr(f"substring('{FIXTURE_CHARACTERS}', CAST(p_partkey div 5 % 5 + 1 AS INT), 1)")
+    name = F.when(key % 3 == 0, F.col("p_name")).otherwise(F.concat(first, second, F.col("p_name")))
+    base = p.select(
         key.alias("id"),
         key.cast("string").alias("sid"),
         F.lower("p_type").alias("content_type"),
         F.when(key % 13 == 0, F.lit(None).cast("string"))
-        .when(key % 11 == 0, F.concat(F.lit('"'), F.col("p_name"), F.lit('"')))
-        .otherwise(F.col("p_name"))
+        .when(key % 11 == 0, F.concat(F.lit('"'), name, F.lit('"')))
+        .otherwise(name)
         .alias("title"),
         F.lit(1).alias("type"),
         F.when(size % 7 == 0, 0).otherwise(1).alias("status"),
@@ -59,6 +60,9 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(size > 40, 1).otherwise(0).alias("app_version_flag"),
         F.when(size % 10 == 0, 1).otherwise(0).alias("risk_flag"),
     )
+    renamed = base.where("id % 50 = 0").withColumn("title", F.concat("title", F.lit(" II"))).withColumn("id", F.col("id") + 10**9)
+    repeated = base.where("id % 75 = 0").withColumn("id", F.col("id") + 2 * 10**9)
+    return base.unionByName(renamed).unionByName(repeated)
 
 
 def _events_with_part(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,10 +99,7 @@ def play_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def search_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search/browse log from ``lineitem``: NULL users, NULL and empty search text."""
     l = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_shipdate")
-    # Orders is a fact table that grows with the data, so it is never broadcast:
-    # a sort-merge join on the order key, which also spreads the per-row work
-    # over the shuffle's tasks. Part is catalog-sized; AQE picks its join.
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority").hint("merge")
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
     j = l.join(o, o["o_orderkey"] == l["l_orderkey"]).join(p, p["p_partkey"] == l["l_partkey"])
     line = F.col("l_linenumber")

@@ -1,4 +1,4 @@
-"""Log scans.
+"""Log scans (A1, A2).
 
 A log table is any DataFrame (``spark.table`` of a day-partitioned table, or
 ``spark.read.parquet``). Projection and filters are applied right after the
@@ -48,11 +48,6 @@ def read_log_days(spark: SparkSession, source: str, as_of: str | int, days: int,
     return filter_window(df, as_of, days, day_col=day_col)
 
 
-def read_log_table(spark: SparkSession, table: str) -> DataFrame:
-    """A log or fact table by name (Hive or catalog table)."""
-    return spark.table(table)
-
-
 def log_retrieval(
     log: DataFrame,
     as_of: str | int,

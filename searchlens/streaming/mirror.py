@@ -32,13 +32,14 @@ def topic_pattern(topics: Iterable[str] | str) -> str:
 
 
 def mirror_messages(messages: DataFrame, topics: Iterable[str] | str) -> DataFrame:
-    """The mirror's per-row rule: keep messages of the listed topics, key and value untouched.
+    """The mirror's per-row rule: keep messages of the listed topics, key, value and any headers untouched.
 
     Key and value keep their source type (bytes from Kafka, strings from
     files), so binary payloads are copied as they are. The same function
     runs on a batch frame and on a stream.
     """
-    return messages.where(F.col("topic").rlike(topic_pattern(topics))).select("topic", "key", "value")
+    return messages.where(F.col("topic").rlike(topic_pattern(topics))).select(
+        "topic", "key", "value", *[c for c in ("headers",) if c in messages.columns])
 
 
 def read_message_stream(spark: SparkSession, fmt: str, topics: Iterable[str] | str,
@@ -53,7 +54,7 @@ def read_message_stream(spark: SparkSession, fmt: str, topics: Iterable[str] | s
     for k, v in (options or {}).items():
         r = r.option(k, v)
     if fmt == "kafka":
-        r = r.option("subscribePattern", topic_pattern(topics))
+        r = r.option("subscribePattern", topic_pattern(topics)).option("includeHeaders", "true")
         return r.load()
     return r.schema(MESSAGE_SCHEMA).load(path)
 

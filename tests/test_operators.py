@@ -157,6 +157,38 @@ def test_access_log_dates(spark):
     assert (out[2]["dt"], out[2]["d"]) == (None, None)
 
 
+def test_short_access_log_dates_are_null(spark):
+    df = spark.createDataFrame([("10/Oct/20",), ("10/Oct/2019",), ("10/Oct/2019:",)], "t string")
+    out = df.select(D.en_to_cn_datetime("t").alias("dt"), D.en_to_cn_date("t").alias("d"), D.en_to_cn_array("t").alias("a")).collect()
+    assert [tuple(r) for r in out] == [(None, None, ["", ""]), (None, "2019-10-10", ["", ""]),
+                                       ("2019-10-10 ", "2019-10-10", ["2019-10-10", "2019-10-10 "])]
+
+
+def test_lines_keep_their_fields(spark):
+    df = spark.createDataFrame([("a", None, 3)], "x string, y string, n int")
+    assert df.select(S.joined_line("x", "y", "n")).first()[0] == "a||||3"
+
+
+def test_too_many_labels_are_refused(spark):
+    df = spark.createDataFrame([(str(i),) for i in range(5)], "category string")
+    with pytest.raises(ValueError):
+        index_categories(df, "category", max_labels=4)
+
+
+def test_short_editorial_lines_are_returned(spark):
+    from searchlens.sources.editorial import short_lines
+    lines = spark.createDataFrame([("1\tmovie\tTitle\tTT",), ("2\ttv\t\t",), ("",)], "value string")
+    assert rows(short_lines(lines), "value", "n_fields") == [("", 0), ("2\ttv\t\t", 2)]
+
+
+def test_path_preset_reads_text_from_paths(spark):
+    from searchlens.sources.logs import log_retrieval, path_search_preset
+    log = spark.createDataFrame([("home-tv-XY", "tv", "s1", 20240120), (None, "tv", "s2", 20240120), ("home-tv-Z", "mv", "s3", 20240120)],
+                                "path string, content_type string, sid string, key_day int")
+    out = log_retrieval(log, "20240120", 3, *reversed_preset(path_search_preset(["tv"], ["tv"])))
+    assert sorted((r["search_text"] or "", r["sid"], r["num"]) for r in out.collect()) == [("", "s2", 1), ("XY", "s1", 1)]
+
+
 def test_calendar_functions(spark):
     df = spark.createDataFrame([("20240303",), ("20240304",), ("20240302",)], "d string")
     day = D.parse_day("d")
@@ -169,32 +201,42 @@ def test_calendar_functions(spark):
     assert C.day_add("20240301", -1) == "20240229" and C.window_start(20240120, 3) == "20240117"
 
 
+READINGS = [("行", ["hang", "xing"]), ("乐", ["le", "yue"])]
+
+
+def _titled(spark, rows):
+    readings = spark.createDataFrame(READINGS, "ch string, readings array<string>")
+    return T.title_readings(spark.createDataFrame(rows, "k int, title string"), readings)
+
+
 def test_title_readings_spellings_and_code(spark):
-    readings = spark.createDataFrame([("行", ["hang", "xing"]), ("乐", ["le", "yue"])], "ch string, readings array<string>")
-    titles = spark.createDataFrame([(1, "行乐 abc12"), (2, "***"), (3, None), (4, "爱")], "k int, title string")
-    for row_key in (None, ["k"]):
-        _check_readings(T.title_readings(titles, readings, row_key=row_key))
-
-
-def _check_readings(df):
-    out = df.select(
-        "k", T.spellings("readings").alias("sp"), T.search_code("readings").alias("code"),
-        T.has_chinese("title").alias("zh"), T.title_tokens("title").alias("tok"))
-    got = {r["k"]: r for r in out.collect()}
-    assert got[1]["sp"] == ["hang le abc 12 ", "hang yue abc 12 ", "xing le abc 12 ", "xing yue abc 12 "]
+    df = _titled(spark, [(1, "行乐 abc12"), (2, "***"), (3, None), (4, "爱")])
+    got = {r["k"]: r for r in df.select("k", T.search_code("readings").alias("code"), T.has_chinese("title").alias("zh"),
+                                        T.title_tokens("title").alias("tok")).collect()}
     assert got[1]["code"] == "hla1" and got[1]["tok"] == ["行", "乐", "abc", "12"] and got[1]["zh"]
-    assert got[2]["sp"] == [] and got[2]["code"] is None and not got[2]["zh"]
-    assert got[3]["sp"] == [] and got[3]["code"] is None and not got[3]["zh"]
-    assert got[4]["sp"] == ["爱 "] and got[4]["code"] == "爱"
-
-
-def test_spelling_rows_match_the_array_form(spark):
-    readings = spark.createDataFrame([("行", ["hang", "xing"]), ("乐", ["le", "yue"])], "ch string, readings array<string>")
-    titles = spark.createDataFrame([(1, "行乐 abc12"), (2, "***"), (3, None), (4, "爱乐")], "k int, title string")
-    r = T.title_readings(titles, readings, row_key=["k"])
-    rows_form = sorted((x["k"], x["spelling"]) for x in T.spelling_rows(r).collect())
-    array_form = sorted((x["k"], s) for x in r.select("k", T.spellings("readings").alias("sp")).collect() for s in x["sp"])
-    assert rows_form == array_form and len(rows_form) == 6
+    assert got[2]["code"] is None and not got[2]["zh"]
+    assert got[3]["code"] is None and not got[3]["zh"]
+    assert got[4]["code"] == "爱"
+    spelt = sorted((r["k"], r["position"], r["spelling"]) for r in T.spelling_rows(df).collect())
+    assert spelt == [(1, 0, "hang le abc 12 "), (1, 1, "hang yue abc 12 "), (1, 2, "xing le abc 12 "),
+                     (1, 3, "xing yue abc 12 "), (4, 0, "爱 ")]
+
+
+def test_rows_that_share_an_id_or_a_title_stay_apart(spark):
+    df = _titled(spark, [(1, "AB"), (1, "CD"), (2, "AB"), (2, "AB")])
+    assert rows(df.select("k", "title", T.search_code("readings").alias("c")), "k", "title", "c") == [
+        (1, "AB", "a"), (1, "CD", "c"), (2, "AB", "a"), (2, "AB", "a")]
+
+
+def test_spellings_come_in_blocks_and_overflow_loudly(spark, monkeypatch):
+    monkeypatch.setattr(T, "SPELLING_BLOCK", 3)
+    df = _titled(spark, [(1, "行乐行乐")])
+    got = sorted((r["position"], r["spelling"]) for r in T.spelling_rows(df).collect())
+    import itertools
+    want = [" ".join(p) + " " for p in itertools.product(["hang", "xing"], ["le", "yue"], ["hang", "xing"], ["le", "yue"])]
+    assert got == list(enumerate(want))
+    with pytest.raises(Exception, match="2\\^63"):
+        T.spelling_rows(_titled(spark, [(1, "行" * 70)])).collect()
 
 
 def test_clean_title(spark):

@@ -51,11 +51,11 @@ def test_pref_payload_round_trip(spark):
 
 def test_heat_and_voice_payloads(spark):
     scores = {r["sid"]: r["score"] for r in R.q_heat_score(spark, SF_SMALL).collect()}
-    for m in R.q_heat_payload(spark, SF_SMALL).collect():
+    for m in R.heat_messages(spark, SF_SMALL).collect():
         doc = json.loads(m["value"])
         assert doc["type"] == "vv" and round(doc["score"], 6) == scores[doc["sid"]] and m["key"] == doc["sid"]
     voice = {r["sid"]: r for r in R.q_voice_scores(spark, SF_SMALL).collect()}
-    msgs = R.q_voice_payload(spark, SF_SMALL).collect()
+    msgs = R.voice_messages(spark, SF_SMALL).collect()
     assert len(msgs) == len(voice)
     for m in msgs:
         doc = json.loads(m["value"])

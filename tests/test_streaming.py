@@ -30,6 +30,8 @@ def test_batch_rule_and_regex_whitelist(spark):
     assert sorted(r["key"] for r in mirror_messages(df, ["a.b", "c"]).collect()) == ["1", "3"]
     assert sorted(r["key"] for r in mirror_messages(df, "a.b|c").collect()) == ["1", "2", "3"]
     assert topic_pattern(["x"]) == "^(x)$"
+    headed = spark.createDataFrame([("c", "1", "x", "h")], "topic string, key string, value string, headers string")
+    assert mirror_messages(headed, ["c"]).first()["headers"] == "h"
 
 
 def test_cli_mirror_available_now(spark):
@@ -64,6 +66,7 @@ def test_kafka_wiring_without_a_broker():
     read_message_stream(spark, "kafka", ["play-log", "browse.log"], options={"kafka.bootstrap.servers": "b:9092"})
     assert ("format", ("kafka",)) in source.calls
     assert ("option", ("subscribePattern", "^(play\\-log|browse\\.log)$")) in source.calls
+    assert ("option", ("includeHeaders", "true")) in source.calls
     assert ("option", ("kafka.bootstrap.servers", "b:9092")) in source.calls and ("load", ()) in source.calls
     writer = _Recorder()
     write_messages(SimpleNamespace(write=writer), "kafka", options={"kafka.bootstrap.servers": "b:9092"})
