@@ -45,6 +45,10 @@ class Encoder:
         self.newline_ids = self._direct("\n")
         # The fast way needs a line feed to be one token of its own, as in the byte-level vocabularies.
         self.newline = int(np.frombuffer(self.newline_ids, "<u4")[0]) if len(self.newline_ids) == 4 else None
+        # Tokens that begin with a space, which byte-level vocabularies write as this letter.
+        vocabulary = self.tokenizer.get_vocab()
+        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.begins[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
 
     def _direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
@@ -91,7 +95,7 @@ class Encoder:
         return ids
 
     def _learn(self, spaced: list[str], first: list[str]) -> None:
-        """Give the library the words that are new, with a line feed between them."""
+        """Give the library the words that are new, many at a time: with a space or a line feed before each."""
         after, start = set(), set(first)
         for word in spaced:
             if "\n" in word:
@@ -104,8 +108,7 @@ class Encoder:
             if "\n" in word:
                 start.discard(word)
                 start.update(word.split("\n"))
-        lines, homes = [], []
-        for words, known, lead in ((after, self.spaced, " "), (start, self.first, "")):
+        for words, known, mark in ((after, self.spaced, " "), (start, self.first, "\n")):
             need = set()
             for word in words:
                 if word not in known:
@@ -118,18 +121,18 @@ class Encoder:
                         word = stem
                     if word not in known:
                         need.add(word)
-            lines += [lead + w for w in need]
-            homes += [(known, w) for w in need]
-        for k in range(0, len(lines), _GROUP):
-            part = homes[k:k + _GROUP]
-            ids = np.frombuffer(self._direct("\n".join(lines[k:k + _GROUP])), "<u4")
-            ends = np.append(np.flatnonzero(ids == self.newline), len(ids)) * 4
-            if len(ends) != len(part):
-                raise ValueError("the vocabulary has tokens across a line feed")
-            raw, begin = ids.tobytes(), 0
-            for (known, word), end in zip(part, ends.tolist(), strict=True):
-                known[word] = raw[begin:end]
-                begin = end + 4
+            need = list(need)
+            for k in range(0, len(need), _GROUP):
+                part = need[k:k + _GROUP]
+                ids = np.frombuffer(self._direct(mark + mark.join(part)), "<u4")
+                # A word begins with the token that has its space, or after its line feed.
+                begins = np.flatnonzero(self.begins[ids] if mark == " " else ids == self.newline)
+                if len(begins) != len(part):
+                    raise ValueError("the vocabulary has tokens across words")
+                raw, skip = ids.tobytes(), 0 if mark == " " else 4
+                edges = [*(4 * begins).tolist(), len(raw)]
+                for word, a, b in zip(part, edges, edges[1:], strict=False):
+                    known[word] = raw[a + skip:b]
 
 
 _encoders: dict[tuple, Encoder] = {}
