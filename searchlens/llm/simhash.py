@@ -102,34 +102,48 @@ def fingerprints(docs: DataFrame, ident: str = "doc_id", text: str = "text", shi
 def trie_nodes(fps: DataFrame, node_size: int) -> tuple[np.ndarray, np.ndarray]:
     """(paths, depths) of disjoint trie nodes that cover all of ``fps``, none with over ``node_size`` of them.
 
-    Only counts come to the driver, at most MAX_COUNTED at a time: nodes that are too large are counted anew by
-    their children some levels below, until all fit (a node of depth 64 is one fingerprint).
+    Only counts come to the driver, about MAX_COUNTED at a time. Nodes that turn out too large are counted anew by
+    their descendants, as many levels down as that allows, until all fit (a node of depth 64 is one fingerprint).
+    Between two counts, the largest nodes that fit are taken.
     """
     total = fps.count()
-    done: list[tuple[int, int]] = []
-    large, depth = {0: total}, 0
     if total <= node_size:
         return np.zeros(1, np.uint64), np.zeros(1, np.int64)
-    spark = fps.sparkSession
+    spark, done, large, depth = fps.sparkSession, [], [0], 0
     while large:
-        wish = int(np.ceil(np.log2(max(large.values()) / node_size))) + 1
-        room = int(np.log2(MAX_COUNTED / len(large))) if len(large) < MAX_COUNTED else 1
-        step = max(1, min(wish, room, _ALL - depth))
-        parents = fps if depth == 0 else fps.join(
+        step = int(np.log2(max(2, MAX_COUNTED / len(large))))
+        if not depth:   # evenly spread fingerprints need no more than this
+            step = min(step, int(np.ceil(np.log2(total / node_size))) + 1)
+        step = min(step, _ALL - depth)
+        parents = fps if not depth else fps.join(
             F.broadcast(spark.createDataFrame([(_signed(p),) for p in large], "path bigint")),
             F.expr(f"(fp & {_mask(depth)}) = path"), "left_semi")
+        counted = parents.groupBy(F.expr(f"fp & {_mask(depth + step)}").alias("path")).count().collect()
+        fitting, large = _largest_nodes({path % 2**64: n for path, n in counted}, depth, depth + step, node_size)
+        done += fitting
         depth += step
-        counted = parents.groupBy(F.expr(f"fp & {_mask(depth)}").alias("path")).count().collect()
-        large = {}
-        for path, n in counted:
-            if n <= node_size or depth == _ALL:
-                done.append((path & (2**64 - 1), depth))
-            else:
-                large[path & (2**64 - 1)] = n
     done.sort()
     return np.array([p for p, _ in done], np.uint64), np.array([d for _, d in done], np.int64)
 
 
+def _largest_nodes(counts: dict[int, int], top: int, bottom: int, node_size: int) -> tuple[list[tuple[int, int]], list[int]]:
+    """The largest nodes between two depths that fit, as (path, depth), and the paths at ``bottom`` that do not."""
+    large = [p for p, n in counts.items() if n > node_size and bottom < _ALL]
+    done = [(p, bottom) for p, n in counts.items() if n > node_size and bottom == _ALL]
+    split = {p for p, n in counts.items() if n > node_size}
+    nodes = {p: n for p, n in counts.items() if n <= node_size}
+    for depth in range(bottom - 1, top - 1, -1):
+        keep = 2**64 - 2 ** (_ALL - depth)
+        above: dict[int, int] = {}
+        for p, n in nodes.items():
+            above[p & keep] = above.get(p & keep, 0) + n
+        cut = {p & keep for p in split} | {p for p, n in above.items() if n > node_size}
+        done += [(p, depth + 1) for p in nodes if p & keep in cut]
+        nodes = {p: n for p, n in above.items() if p not in cut}
+        split = cut
+    return done + [(p, top) for p in nodes], large
+
+
 def _signed(x: int) -> int:
     return x - 2**64 if x >= 2**63 else x
 

@@ -110,7 +110,9 @@ def _check_packing(out, enc, texts, capacity):
 
 
 def test_packing_of_awkward_documents(spark, enc):
-    _check_packing(pack_documents(edge_docs(spark), capacity=64), enc, TEXTS, 64)
+    _check_packing(pack_documents(edge_docs(spark)), enc, TEXTS, 1024)
+    short = [(i, t) for i, t in TEXTS if t != LONG]
+    _check_packing(pack_documents(edge_docs(spark, short), capacity=8), enc, short, 8)
     assert pack_documents(edge_docs(spark, [])).count() == 0
 
 
