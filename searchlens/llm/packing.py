@@ -33,6 +33,7 @@ from .tokens import END_ID, encoder
 
 CAPACITY = 1024
 GROUP_PIECES = 8192
+MAX_TASKS = 20_000   # beyond so many groups, a task packs several
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, uid bigint"
 
 
@@ -201,8 +202,9 @@ def _packed(pieces: DataFrame, group_pieces: int, capacity: int, count: int, see
             fill[b] = sizes[b].sum()
         return pd.DataFrame({"uid": uids, "length": sizes, "sequence_id": sequence, "offset": offset, "fill": fill})
 
+    # A group is a few kilobytes but a second of work, so tasks are not left to be merged by size.
     return pieces.select("uid", "length", F.pmod(F.xxhash64(F.lit(seed), F.col("uid")), F.lit(groups)).alias("g")) \
-        .groupBy("g").applyInPandas(pack, "uid bigint, length bigint, sequence_id bigint, offset bigint, fill bigint")
+        .repartition(min(groups, MAX_TASKS), "g").groupBy("g").applyInPandas(pack, "uid bigint, length bigint, sequence_id bigint, offset bigint, fill bigint")
 
 
 def place(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES,
