@@ -43,9 +43,9 @@ _KIND[0xC0:], _KIND[0x80:0xC0] = 6, 7
 _marks = [b for b in range(33, 127) if not (48 <= b < 58 or 65 <= b < 91 or 97 <= b < 123)]
 _KIND[_marks] = np.arange(8, 8 + len(_marks))
 KINDS = 8 + len(_marks)
-BUCKETS = 2048
+BUCKETS = 1 << 10    # of each kind of trigram
 _KIND_TERMS = KINDS ** 3
-_FOLD = ((np.arange(_KIND_TERMS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(53)).astype(np.int64)
+_FOLD = ((np.arange(_KIND_TERMS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(65 - BUCKETS.bit_length())).astype(np.int64)
 TERMS = 2 * BUCKETS + 4
 
 
