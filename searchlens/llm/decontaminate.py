@@ -1,13 +1,16 @@
 """Benchmark decontamination by SimHash over item-sized windows.
 
-1. Every benchmark item gets a window size a little below its own size, from a grid of sizes, and a 64-bit SimHash of
-   its word pairs at every offset of that window. A passage that keeps about nine tenths of the item in one run holds such
-   a window whole wherever the document's windows, which step by a tenth of their size, happen to begin.
+1. Every benchmark item gets a window size below its own size, from a grid of sizes, and a 64-bit SimHash of its word
+   pairs at every offset of that window. The shortest unbroken part of the item that can be similar enough - a text that
+   is this part, or that begins or ends with it - holds such a window whole wherever the document's windows, which step
+   by a tenth of their size, happen to begin.
 2. Windows of each size run over the whole text of every document. A multi-index over four blocks of 16 bits finds
    all item fingerprints within ``RADIUS`` bits of a window's: by the pigeonhole principle one of the blocks differs
    in at most RADIUS // 4 bits, and each item is entered under all block values that near to its own.
-3. The stretch of the document that the item would cover is then compared by its five-word shingles, weighted by how
-   often they occur: the sum of the smaller counts over the sum of the larger ones must reach 0.8.
+3. The stretch of the document that the item would cover, and those that begin a little before or after it, are then
+   compared by their five-word shingles, weighted by how often they occur: the sum of the smaller counts over the sum of
+   the larger ones must reach 0.8. Stretches end with the text; where the text begins with the end of an item, so does
+   the stretch.
 
 Words are runs of characters between white space and ASCII punctuation, in lower case. Benchmark items are broadcast
 in blocks of at most ``BLOCK_BYTES``; documents are neither shuffled nor gathered. An edited word moves two of a
@@ -24,6 +27,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +40,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 RADIUS = 7
 BLOCKS = 4                  # of 16 bits
-SHARE = 0.85                # of an item's words that its window has at most
+SHARE = 0.76                # of an item's words that its window has at most
 GROWTH = 1.12               # from a window size to the next
 BLOCK_BYTES = 4 << 20       # of benchmark text that is broadcast at once
 PAIRED = 4                  # words from which an item's features are word pairs and not words
@@ -83,9 +87,18 @@ def window_prints(sums: np.ndarray, size: int, step: int) -> np.ndarray:
     return np.packbits(counts > size // 2, axis=1, bitorder="little").view("<u8").ravel()
 
 
-def window_size(words: int) -> int:
-    """The largest size of the grid that leaves the item its margin; the grid has every size below 8."""
-    target = max(1, int(words * SHARE))
+def least_words(words: int, similarity: float = SIMILARITY) -> int:
+    """The fewest words in a row of an item that can be as similar to it, with no other words beside them."""
+    if words < SHINGLE:
+        return words
+    return max(1, math.ceil(similarity * (words - SHINGLE + 1) - 1e-9)) + SHINGLE - 1
+
+
+def window_size(words: int, similarity: float = SIMILARITY) -> int:
+    """The largest size of the grid of which ``least_words`` hold a window at any step; the grid has every size below 8."""
+    target, least = max(1, int(words * SHARE)), least_words(words, similarity)
+    while target + step_of(target) - 1 > least:
+        target -= 1
     if target < 8:
         return target
     return int(8 * GROWTH ** math.floor(math.log(target / 8) / math.log(GROWTH) + 1e-9))
@@ -145,7 +158,7 @@ def weighted_similarity(a: Counter, b: Counter) -> float:
 
 
 Leak = tuple[int, float, int, int]              # item id, similarity, first word, words
-Stretch = tuple[int, int, list[bytes]]          # number of the text, words of it before, words
+Stretch = tuple[int, int, list[bytes], bool]    # number of the text, words of it before, words, whether it is the last
 
 
 class Index:
@@ -158,7 +171,7 @@ class Index:
         by_size: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
         for k, (_, words) in enumerate(self.items):
             width = 2 if len(words) >= PAIRED else 1
-            size = window_size(len(words))
+            size = window_size(len(words), similarity)
             prints = window_prints(bit_sums(features(word_hashes(words), width)), size - width + 1, 1)
             by_size.setdefault((width, size), []).extend((int(p), k, at) for at, p in enumerate(prints))
         self.sizes = [(width, size, MultiIndex(np.array([p for p, _, _ in e], np.uint64), radius),
@@ -192,18 +205,18 @@ class Index:
                 words += words_of(text[at:end])
                 at = end
             if at >= len(text) and len(words) <= _WORDS + over:
-                yield n, before, words
+                yield n, before, words, True
                 return
-            yield n, before, words[:_WORDS + over]
+            yield n, before, words[:_WORDS + over], False
             words, before = words[_WORDS:], before + _WORDS
 
     def _match(self, held: list[Stretch], best: list[dict[int, tuple[float, int]]]) -> None:
         """Look for all items in the given stretches at once, and verify what the windows find."""
-        words = [w for _, _, own in held for w in own]
+        words = [w for _, _, own, _ in held for w in own]
         if not words or not self.sizes:
             return
-        ends = np.cumsum([len(own) for _, _, own in held])
-        home = np.repeat(np.arange(len(held)), [len(own) for _, _, own in held])
+        ends = np.cumsum([len(own) for _, _, own, _ in held])
+        home = np.repeat(np.arange(len(held)), [len(own) for _, _, own, _ in held])
         hashes = word_hashes(words)
         sums = {w: bit_sums(features(hashes, w)) for w in {width for width, *_ in self.sizes}}
         found: set[tuple[int, int, int]] = set()
@@ -215,13 +228,23 @@ class Index:
             at, entry = at[inside], entry[inside]
             found.update(zip(home[at].tolist(), item[entry].tolist(), (at - offset[entry]).tolist(), strict=True))
         for h, k, start in found:
-            n, before, own = held[h]
-            first = int(ends[h]) - len(own)
-            lo = max(0, start - first)
-            part = own[lo:max(lo, start - first + len(self.items[k][1]))]
-            s = weighted_similarity(shingle_counts(part), self.shingles[k])
-            if s >= self.similarity and (s, -before - lo) > (best[n].get(k, (0.0, 0))[0], -best[n].get(k, (0.0, 0))[1]):
-                best[n][k] = s, before + lo
+            n, before, own, last = held[h]
+            size = len(self.items[k][1])
+            slack = size - least_words(size, self.similarity)
+            start -= int(ends[h]) - len(own)
+            around = shingle_counts(own[max(0, start - slack):max(0, start + size + slack)])
+            if (around & self.shingles[k]).total() < self.similarity * self.shingles[k].total() - 1e-9:
+                continue
+            for lo in sorted(range(start - slack, start + slack + 1), key=lambda x: abs(x - start)):
+                if lo < 0 and (before or lo != start or 2 * sum(map(eq, own, self.items[k][1][-lo:])) < size + lo) \
+                        or lo + size > len(own) and not last:
+                    continue                           # a text begins and ends only where its first and last stretch do
+                s = weighted_similarity(shingle_counts(own[max(0, lo):max(0, lo + size)]), self.shingles[k])
+                lo = max(0, lo)
+                if s >= self.similarity and (s, -before - lo) > (best[n].get(k, (0.0, 0))[0], -best[n].get(k, (0.0, 0))[1]):
+                    best[n][k] = s, before + lo
+                if s == 1:
+                    break
 
 
 def item_blocks(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> Iterator[list[tuple[int, str]]]:

@@ -81,6 +81,44 @@ def test_a_passage_without_its_end_still_counts():
         assert {m[0] for m in index.leaks([text])[0]} == slow_leaks(text, items)
 
 
+def test_parts_that_can_be_similar_hold_a_window():
+    for similarity in (0.5, 0.8, 0.95):
+        for n in range(1, 1200):
+            size = D.window_size(n, similarity)
+            assert 1 <= size and size + D.step_of(size) - 1 <= D.least_words(n, similarity) <= n
+
+
+def test_cut_passages_at_the_ends_of_texts_are_found():
+    rng = random.Random(11)
+    for n in [*range(12, 160, 21), 92]:
+        for share in (0.80, 0.82, 0.85, 0.87):
+            items = [(0, " ".join(_words(rng, n)))]
+            index = D.Index(items)
+            words, cut = items[0][1].split(), round(n * share)
+            head, tail, inner = words[:cut], words[n - cut:], words[(n - cut) // 2:][:cut]
+            rest = _words(rng, 37 + cut % 13)
+            texts = [" ".join(x) for x in (rest + head, head, tail, inner, rest + tail, rest + inner, head + rest)]
+            want = [slow_leaks(x, items) for x in texts]
+            assert [{m[0] for m in found} for found in index.leaks(texts)] == want, (n, share)
+            assert bool(want[0]) == ((cut - 4) / (n - 4) >= 0.8)
+            (found,) = index.leaks([" ".join(tail + rest)])     # the item would begin before the text
+            assert bool(found) == bool(want[0])
+
+
+def test_cuts_between_stretches_are_no_ends_of_texts(monkeypatch):
+    rng = random.Random(12)
+    items = [(0, " ".join(_words(rng, 40)))]
+    index = D.Index(items)
+    monkeypatch.setattr(D, "_WORDS", 50)
+    monkeypatch.setattr(D, "_CHARS", 90)
+    words = items[0][1].split()
+    for k in range(12, 250, 17):
+        for passage in (words[:34], words[-34:]):
+            body = _words(rng, 300)
+            body[k + 1:k + 1] = passage
+            assert index.leaks([" ".join(body)]) == [[]]
+
+
 def test_long_texts_are_worked_on_in_stretches(monkeypatch):
     rng = random.Random(3)
     items = [(k, " ".join(_words(rng, 20 + k))) for k in range(8)]
