@@ -16,12 +16,13 @@ COLUMNS = {
     "op5_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
     "op7_simhash_dedup": ["doc_id", "fingerprint", "component_id"],
     "op10_quality": ["doc_id", "held_out", "score", "predicted"],
+    "op13_sentence_pieces": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
 }
 
 
 def test_every_operator_and_the_pipeline_are_registered():
     names = entry.queries()
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(QUERIES) <= set(names) and "pipeline" in names
     assert set(ORACLE_SQL) <= set(entry.oracle_sql())
 
