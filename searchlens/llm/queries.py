@@ -12,6 +12,7 @@ from .decontaminate import find_leaks
 from .exact_dedup import exact_dedup
 from .licenses import find_licenses
 from .packing import pack_documents
+from .periods import collapse_runs, repeated, run_report
 from .pieces import piece_digests
 from .sharding import shard_rows
 from .simhash import near_dedup
@@ -66,6 +67,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_report(collapse_runs(repeated(_table(spark, sf_dir))))
+
+
 def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(_table(spark, sf_dir))
 
@@ -73,7 +78,7 @@ def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_exact_dedup, op2_token_files, op3_best_fit_packing, op4_secret_scan, op5_sharding,
-              op6_decontamination, op7_simhash_dedup, op8_token_counts, op9_license_scan, op10_quality, op13_sentence_pieces)
+              op6_decontamination, op7_simhash_dedup, op8_token_counts, op9_license_scan, op10_quality, op12_periodic_runs, op13_sentence_pieces)
 }
 
 ORACLE_SQL: dict[str, str] = {
