@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import quality, secrets
 from .common import scratch_path
 from .decontaminate import find_leaks
 from .exact_dedup import exact_dedup
+from .hard_negatives import hard_negatives
 from .licenses import find_licenses
 from .packing import pack_documents
 from .periods import collapse_runs, repeated, run_report
@@ -67,6 +69,15 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def relabelled(vectors: DataFrame) -> DataFrame:
+    """The rows with (label + 1) mod 10 in place of the label where 7 divides the id."""
+    return vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+
+
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(relabelled(_table(spark, sf_dir, "embeddings")), F.col("vec_id") % 50 == 0)
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_report(collapse_runs(repeated(_table(spark, sf_dir))))
 
@@ -78,7 +89,8 @@ def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_exact_dedup, op2_token_files, op3_best_fit_packing, op4_secret_scan, op5_sharding,
-              op6_decontamination, op7_simhash_dedup, op8_token_counts, op9_license_scan, op10_quality, op12_periodic_runs, op13_sentence_pieces)
+              op6_decontamination, op7_simhash_dedup, op8_token_counts, op9_license_scan, op10_quality,
+              op11_hard_negatives, op12_periodic_runs, op13_sentence_pieces)
 }
 
 ORACLE_SQL: dict[str, str] = {

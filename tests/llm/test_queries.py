@@ -16,6 +16,7 @@ COLUMNS = {
     "op5_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
     "op7_simhash_dedup": ["doc_id", "fingerprint", "component_id"],
     "op10_quality": ["doc_id", "held_out", "score", "predicted"],
+    "op11_hard_negatives": ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"],
     "op12_periodic_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
     "op13_sentence_pieces": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
 }
