@@ -23,9 +23,9 @@ def library():
 
 
 def _same(model, library, text):
-    digits, raw = model.encode(text)
-    ids = np.frombuffer(raw, "<u4").tolist()
-    assert ids == library.encode(text) and digits == ",".join(map(str, ids)), text
+    ids = np.frombuffer(model.encode(text), "<u4").tolist()
+    assert ids == library.encode(text), text
+    assert model.digits(np.array(ids, np.int64)).decode() == ",".join(map(str, ids))
     assert model.decode(np.array(ids, np.int64)) == library.decode(ids), text
 
 
@@ -68,6 +68,26 @@ def test_backtracking_against_plain_merging():
         assert model.pieces(text) == parts
 
 
+def test_compatible_pairs_against_merging_them_again():
+    model = piece_model()
+    rng = random.Random(6)
+    names = [p for p in model.ids if len(p) > 1]
+    singles = [p for p in model.ids if len(p) == 1]
+    found = 0
+    for _ in range(30_000):
+        left, right = (rng.choice(names if rng.random() < 0.8 else singles) for _ in range(2))
+        if rng.random() < 0.5:   # two halves of a piece, which often do merge
+            piece = rng.choice(names)
+            k = rng.randrange(1, len(piece))
+            left, right = piece[:k], piece[k:]
+            if left not in model.ids or right not in model.ids:
+                continue
+        good = model.compatible(left, right)
+        assert good == (model._merged(left + right, len(left)) == [left, right]), (left, right)
+        found += not good
+    assert found > 1000
+
+
 def test_a_model_of_another_type_is_an_error(tmp_path):
     path = tmp_path / "other.model"
     path.write_bytes(b"\x12\x02\x18\x01")   # trainer: unigram
@@ -98,7 +118,7 @@ def test_awkward_documents(spark, library):
 def test_round_trip(spark, library):
     docs = edge_docs(spark, [*TEXTS, *((100 + k, t) for k, t in enumerate(ODD))])
     coded = encode_pieces(docs)
-    assert {(r["doc_id"], r["ids_text"]) for r in coded.collect() if r["doc_id"]} == {
-        (r["doc_id"], ",".join(map(str, library.encode(r["text"] or "")))) for r in docs.collect() if r["doc_id"]}
+    assert {(r["doc_id"], tuple(np.frombuffer(r["ids"], "<u4").tolist())) for r in coded.collect() if r["doc_id"]} == {
+        (r["doc_id"], tuple(library.encode(r["text"] or ""))) for r in docs.collect() if r["doc_id"]}
     back = sorted(((r["doc_id"], r["text"]) for r in decode_pieces(coded).collect()), key=str)
     assert back == sorted(((r["doc_id"], (r["text"] or "").replace("▁", " ")) for r in docs.collect()), key=str)
