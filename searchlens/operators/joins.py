@@ -2,7 +2,8 @@
 
 Join strategy is Catalyst's: with AQE on, a catalog whose runtime size is
 under ``spark.sql.autoBroadcastJoinThreshold`` is broadcast, a larger one is
-sort-merge joined with skewed partitions split. Nothing here forces a broadcast.
+sort-merge joined with skewed partitions split. Raw rows, of which one video
+may hold a third, are joined with ``split_heavy``: see ``operators.skew``.
 """
 
 from __future__ import annotations
@@ -11,22 +12,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import to_int_id
+from .skew import skew_join
 
 
 def join_catalog_type(plays: DataFrame, catalog: DataFrame, sid_col: str = "sid",
-                      type_col: str = "content_type", catalog_sid_col: str = "sid") -> DataFrame:
+                      type_col: str = "content_type", catalog_sid_col: str = "sid", split_heavy: bool = False) -> DataFrame:
     """The catalog's content type replaces the log's.
 
     ``catalog`` holds ``(catalog_sid_col, type_col)``; the log's own type
-    column is dropped first.
+    column is dropped first. With ``split_heavy`` a catalog too large to be
+    broadcast is joined apart from its rows of the heavy sids, whose plays
+    stay out of the shuffle; ``plays`` is then read three times.
     """
     cat = catalog.select(F.col(catalog_sid_col).alias(sid_col), F.col(type_col))
-    return plays.drop(type_col).join(cat, sid_col)
+    plays = plays.drop(type_col)
+    return skew_join(plays, cat, sid_col) if split_heavy else plays.join(cat, sid_col)
 
 
-def join_titles(counts: DataFrame, titles: DataFrame, sid_col: str = "sid") -> DataFrame:
-    """D3: attach catalog title and status; a sid with several catalog rows keeps all."""
-    return counts.join(titles.select(sid_col, "title", "status"), sid_col)
+def join_titles(counts: DataFrame, titles: DataFrame, sid_col: str = "sid", split_heavy: bool = False) -> DataFrame:
+    """D3: attach catalog title and status; a sid with several catalog rows keeps all. ``split_heavy`` as above."""
+    titles = titles.select(sid_col, "title", "status")
+    return skew_join(counts, titles, sid_col) if split_heavy else counts.join(titles, sid_col)
 
 
 def join_scores_by_id(scores: DataFrame, catalog: DataFrame, code_col: str = "sid_or_subject_code",

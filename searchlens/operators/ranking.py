@@ -1,9 +1,11 @@
 """Top-k and seeded samples.
 
 ``row_number() <= k`` over a grouped window is planned by Spark as a
-``WindowGroupLimit``: each map task keeps only its k best rows per group
-before the shuffle, so a group as large as a whole content type sends k
-rows per task, not all its rows. Every order ends in a full tie-break so
+``WindowGroupLimit`` for k up to a threshold: each map task keeps only its k
+best rows per group before the shuffle, so a group as large as a whole content
+type sends k rows per task, not all its rows. For a larger k a first ranking by
+group and salt keeps k rows of each salt, so that a group's rows are ranked in
+many tasks and only k per salt meet. Every order ends in a full tie-break so
 results repeat run to run.
 """
 
@@ -19,25 +21,30 @@ def _orders(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
-# Up to this many rows per group Spark limits before the shuffle; beyond it would rank whole groups.
-GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+# Up to this many rows per group Spark limits before the shuffle, by the setting's default.
+GROUP_LIMIT, DEFAULT_GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold", 1000
 
 
 def top_k(df: DataFrame, k: int, order: Sequence[Column | str], group: Sequence[str] = (),
-          rank_col: str = "rank") -> DataFrame:
+          rank_col: str = "rank", salts: int | None = None) -> DataFrame:
     """The first ``k`` rows of each group (or of all rows) by ``order``, ranked from 1.
 
     Without ``group`` the rows are limited first (``TakeOrderedAndProject``:
     each task keeps its k best rows), and only those k are numbered. With
-    ``group``, Spark limits before the shuffle up to a threshold that is a
-    session setting; it is raised to ``k`` where it is lower.
+    ``group``, Spark limits before the shuffle for k up to its threshold; for
+    a larger k the rows are ranked in two levels, over ``salts`` parts of each
+    group first (the number of shuffle partitions unless given).
     """
     if not group:
         return df.orderBy(*_orders(order)).limit(k).withColumn(
             rank_col, F.row_number().over(Window.orderBy(*_orders(order))))
     conf = df.sparkSession.conf
-    if int(conf.get(GROUP_LIMIT)) < k:
-        conf.set(GROUP_LIMIT, str(k))
+    if k > min(DEFAULT_GROUP_LIMIT, int(conf.get(GROUP_LIMIT))):
+        salts = salts or int(conf.get("spark.sql.shuffle.partitions"))
+        # The part of the input that a row comes from: rows alike in every column do not share a salt by that.
+        salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        within = Window.partitionBy(*group, "_salt").orderBy(*_orders(order))
+        df = salted.withColumn("_place", F.row_number().over(within)).where(F.col("_place") <= k).drop("_salt", "_place")
     w = Window.partitionBy(*group).orderBy(*_orders(order))
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
 

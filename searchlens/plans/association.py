@@ -35,9 +35,9 @@ def playable_catalog(catalog: DataFrame, types: Sequence[str] = config.ALL_VIDEO
     return filter_catalog(catalog, types, app_version_flag=app_version_flag).select("id", "sid", "content_type")
 
 
-def joined_plays(plays: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Plays with the catalog's content type."""
-    return join_catalog_type(plays, catalog.select("sid", "content_type"))
+def joined_plays(plays: DataFrame, catalog: DataFrame, split_heavy: bool = False) -> DataFrame:
+    """Plays with the catalog's content type; ``split_heavy`` for raw plays, of which one video may hold a third."""
+    return join_catalog_type(plays, catalog.select("sid", "content_type"), split_heavy=split_heavy)
 
 
 def type_play_counts(plays: DataFrame, catalog: DataFrame, key: str = "sid") -> DataFrame:

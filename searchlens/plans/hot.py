@@ -9,7 +9,7 @@ per-type ones, which hold it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -67,15 +67,39 @@ def hot_rollup(play_log: DataFrame, catalog: DataFrame, as_of: str | int, days:
     """K2/K3 up to the rollup: unique searchers (K2) or all searches (K3).
 
     ``extra_logs`` (G5) are further logs of the same columns; a user is
-    unique within each log, and the logs' counts add up.
+    unique within each log, and the logs' counts add up. Their rows are
+    tagged with the log, so that one distinct serves all.
     """
-    cols = ("user_id",) + SEARCH_COLUMNS if unique else SEARCH_COLUMNS
-    logs = [search_rows(log, types, as_of, days, cols) for log in (play_log, *extra_logs)]
-    if unique and len(logs) == 1:
-        counts = unique_searchers(logs[0])
-    else:
-        counts = search_counts(union_logs(*[log.distinct() if unique else log for log in logs]))
-    return rollup_with_titles(counts, catalog, risk_free)
+    logs = [play_log, *extra_logs]
+    if not unique:
+        counts = search_counts(union_logs(*[search_rows(log, types, as_of, days) for log in logs]))
+        return rollup_with_titles(counts, catalog, risk_free)
+    cols = ("user_id",) + SEARCH_COLUMNS
+    if len(logs) == 1:
+        return rollup_with_titles(unique_searchers(search_rows(play_log, types, as_of, days, cols)), catalog, risk_free)
+    tagged = [search_rows(log, types, as_of, days, cols).withColumn("log", F.lit(k)) for k, log in enumerate(logs)]
+    return rollup_with_titles(searchers_by_log(union_logs(*tagged)), catalog, risk_free)
+
+
+def searchers_by_log(tagged: DataFrame) -> DataFrame:
+    """E2 within G5: distinct searchers per (text, type, sid), a user once in each log; NULL users of a log count once.
+
+    ``tagged`` has ``log``, ``user_id`` and the search columns. One distinct on all five columns, then a count.
+    """
+    return search_counts(tagged.select("log", "user_id", *SEARCH_COLUMNS).distinct())
+
+
+def split_log(log: DataFrame, members: Mapping[str, tuple[F.Column, F.Column]], user_col: str = "user_id") -> DataFrame:
+    """G5 over one table that holds several logs: a row per log that a row of the table belongs to.
+
+    ``members`` gives for each log its condition and its search text. The
+    table is read once; rows without text, or in no log, go.
+    """
+    entries = [F.when(cond, F.struct(F.lit(name).alias("log"), text.alias("search_text"))) for name, (cond, text) in members.items()]
+    text = F.col("entry.search_text")
+    return (log.select(user_col, "content_type", "sid", F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("entry"))
+            .where(text.isNotNull() & (F.length(text) > 0))
+            .select(F.col("entry.log").alias("log"), F.col(user_col).alias("user_id"), text.alias("search_text"), "content_type", "sid"))
 
 
 def hot_ranked(rollup: DataFrame, top_n: int = config.TOP_N) -> DataFrame:

@@ -151,14 +151,19 @@ def q_clean_titles(spark, d):
 
 # --- joins, unions, counts ---
 
-def q_join_plays_catalog(spark, d):
+def _plays_with_type(spark, d, split_heavy=False):
     plays = assoc.assoc_plays(fx.play_log(spark, d), PLAY_AS_OF, PLAY_DAYS, ALL)
-    return assoc.joined_plays(plays, assoc.playable_catalog(fx.catalog(spark, d), ALL))
+    return assoc.joined_plays(plays, assoc.playable_catalog(fx.catalog(spark, d), ALL), split_heavy)
+
+
+def q_join_plays_catalog(spark, d):
+    """D1 on raw plays, split by heavy sids where the catalog is too large to broadcast."""
+    return _plays_with_type(spark, d, split_heavy=True)
 
 
 def q_join_counts_titles(spark, d):
     rows = hot.search_rows(_search_play(spark, d), SHORT_LONG, SEARCH_AS_OF, SEARCH_DAYS)
-    return join_titles(A.search_counts(rows), hot.catalog_titles(fx.catalog(spark, d), risk_free=False))
+    return join_titles(A.search_counts(rows), hot.catalog_titles(fx.catalog(spark, d), risk_free=False), split_heavy=True)
 
 
 def q_union_logs(spark, d):
@@ -176,7 +181,7 @@ def q_unique_searchers(spark, d):
 
 
 def q_play_counts(spark, d):
-    return A.play_counts(q_join_plays_catalog(spark, d), ["content_type", "sid"])
+    return A.play_counts(_plays_with_type(spark, d), ["content_type", "sid"])
 
 
 def q_view_counts(spark, d):
@@ -226,13 +231,14 @@ def q_hot_lines_split_types(spark, d):
 
 
 def q_hot_by_type_three_logs(spark, d):
-    """Unique searchers of three logs; the third reads its search text from the sid's path."""
-    log = fx.search_log(spark, d)
-    third = log.drop("search_text").join(fx.path_log(spark, d), "sid").withColumn(
-        "search_text", S.path_code_home("path", config.HOME_PATH_TYPES)).drop("path")
-    rollup = hot.hot_rollup(_search_play(spark, d), fx.catalog(spark, d), SEARCH_AS_OF, SEARCH_DAYS, SHORT_LONG,
-                            extra_logs=[_search_detail(spark, d), third.select(*log.columns)])
-    return hot.hot_by_type(rollup)
+    """Unique searchers of three logs in one pass; the third has all rows, its search text from the sid's path."""
+    log = C.filter_window(C.filter_content_type(fx.search_log(spark, d), SHORT_LONG), SEARCH_AS_OF, SEARCH_DAYS)
+    log = log.join(fx.path_log(spark, d), "sid", "left")
+    tagged = hot.split_log(log, {
+        "play": (F.col("log_type") == "play", F.col("search_text")),
+        "detail": (F.col("log_type") == "detail", F.col("search_text")),
+        "path": (F.col("path").isNotNull(), S.path_code_home("path", config.HOME_PATH_TYPES))})
+    return hot.hot_by_type(hot.rollup_with_titles(hot.searchers_by_log(tagged), fx.catalog(spark, d), risk_free=True))
 
 
 def q_hot_payload(spark, d):

@@ -169,12 +169,6 @@ def test_lines_keep_their_fields(spark):
     assert df.select(S.joined_line("x", "y", "n")).first()[0] == "a||||3"
 
 
-def test_too_many_labels_are_refused(spark):
-    df = spark.createDataFrame([(str(i),) for i in range(5)], "category string")
-    with pytest.raises(ValueError):
-        index_categories(df, "category", max_labels=4)
-
-
 def test_short_editorial_lines_are_returned(spark):
     from searchlens.sources.editorial import short_lines
     lines = spark.createDataFrame([("1\tmovie\tTitle\tTT",), ("2\ttv\t\t",), ("",)], "value string")

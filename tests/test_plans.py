@@ -63,10 +63,35 @@ def test_preference_profile_shuffles_twice_after_the_join(spark):
 @pytest.mark.parametrize("k", [20, 5000])
 def test_top_k_keeps_its_limit_for_any_k(spark, k):
     from pyspark.sql import functions as F
-    from searchlens.operators.ranking import top_k
-    df = spark.range(100_000).select(F.col("id").alias("n"), (F.col("id") % 3).alias("g"))
+    from searchlens.operators.ranking import GROUP_LIMIT, top_k
+    df = spark.range(0, 100_000, 1, 20).select(F.col("id").alias("n"), (F.col("id") % 3).alias("g"))
     assert "TakeOrderedAndProject" in formatted(top_k(df, k, ["n"]))
-    assert formatted(top_k(df, k, ["n"], ["g"])).split("\n\n")[0].count("WindowGroupLimit") == 2
+    before = spark.conf.get(GROUP_LIMIT)
+    tree = formatted(top_k(df, k, ["n"], ["g"])).split("\n\n")[0]
+    assert spark.conf.get(GROUP_LIMIT) == before == "1000"
+    # By Spark itself up to its threshold, else by a ranking of parts of each group.
+    assert tree.count("WindowGroupLimit") == 2 if k < 1000 else tree.count("- Window") == 2 and tree.count("- Exchange") == 2
+
+
+def test_two_level_ranking_sends_k_rows_a_salt(spark):
+    from pyspark.sql import functions as F
+    from searchlens.operators.ranking import top_k
+    # One group holds all rows but a few, and a third of them are alike.
+    df = spark.range(0, 60_000, 1, 16).select(
+        F.when(F.col("id") < 100, "small").otherwise("large").alias("g"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.pmod(F.xxhash64("id"), F.lit(10**6))).alias("n"))
+    want = {g: sorted(r["n"] for r in df.where(F.col("g") == g).collect())[:2000] for g in ("small", "large")}
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = top_k(df, 2000, ["n"], ["g"], salts=16)
+        rows = [(r["g"], r["rank"], r["n"]) for r in out.collect()]
+        final = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    for g in want:
+        assert sorted((k, n) for h, k, n in rows if h == g) == list(enumerate(want[g], 1))
+    assert "_place" in final and final.count("Exchange hashpartitioning") == 2
 
 
 def test_one_row_per_video_meets_the_titles(spark):
