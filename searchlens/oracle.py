@@ -8,7 +8,7 @@ Spark's; every computed column has the same alias as on the Spark side.
 from __future__ import annotations
 
 from . import config
-from .registry import ALL, GAP_ORIGIN, LONG, MIRROR_TOPICS, SAMPLE_SEED, SEARCH_AS_OF, SHORT, SHORT_LONG
+from .registry import ALL, CATALOG_PARTS, GAP_ORIGIN, LONG, MIRROR_TOPICS, SAMPLE_SEED, SEARCH_AS_OF, SHORT, SHORT_LONG
 
 VIEWS = {
     "base_catalog": """SELECT p_partkey AS id, CAST(p_partkey AS STRING) AS sid, lower(p_type) AS content_type,
@@ -351,9 +351,20 @@ Q["index_categories"] = sql(["play_log"], "SELECT p.event_id, p.content_type, i.
 Q["encode_categories"] = sql(["play_log"], """SELECT p.event_id, p.content_type, CAST(i.n_labels - 1 AS INTEGER) AS vec_size,
   CASE WHEN i.category_index < i.n_labels - 1 THEN CAST(i.category_index AS INTEGER) END AS vec_active
 FROM play_log p JOIN idx i ON i.content_type = p.content_type""", ("idx", _INDEX))
+Q["catalog_id_ranges"] = sql(["catalog"], f"""SELECT CAST((place * {CATALOG_PARTS}) // n_rows AS INTEGER) AS part,
+  min(id) AS low, max(id) AS high, count(*) AS n
+FROM (SELECT id, row_number() OVER (ORDER BY id) - 1 AS place, count(*) OVER () AS n_rows FROM catalog) GROUP BY ALL""")
+Q["table_log_window"] = sql(["play_log"], f"""SELECT event_id, user_id, sid, content_type, key_day FROM play_log
+WHERE key_day > {WINDOW_START}""")
+Q["weekend_plays"] = sql(["play_log"], """SELECT key_day, content_type, count(*) AS n FROM play_log
+WHERE isodow(strptime(CAST(key_day AS STRING), '%Y%m%d')) >= 6 GROUP BY key_day, content_type""")
+Q["weekend_scores"] = sql(["score_matrix"], """SELECT sid_or_subject_code, round(sum(score), 6) AS score FROM score_matrix
+WHERE isodow(strptime(CAST(partition_tag AS STRING), '%Y%m%d')) >= 6 GROUP BY sid_or_subject_code""")
 Q["topic_mirror"] = (f"SELECT event_type AS topic, CAST(event_id AS STRING) AS key, props AS value FROM events "
                      f"WHERE event_type IN {_in(MIRROR_TOPICS)}")
 
+Q["topic_mirror_stream"] = Q["topic_mirror"]
+
 Q["sql_functions"] = """SELECT o_orderkey, strftime(o_orderdate - INTERVAL 1 DAY, '%Y%m%d') AS day_before,
   strftime(o_orderdate, '%Y-%m-%d') AS cn_date, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS cn_datetime,
   strftime(o_orderdate, '%H') AS hour,

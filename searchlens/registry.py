@@ -9,6 +9,7 @@ trailing window. Doubles computed from sums or logarithms are rounded to
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,10 +30,11 @@ from .plans import editorial as ed
 from .plans import heat
 from .plans import hot
 from .sources import fixtures as fx
-from .sources.catalog import read_catalog, scan_score_matrix
+from .scratch import scratch_path, written
+from .sources.catalog import id_ranges, read_catalog, scan_score_matrix
 from .sources.editorial import parse_editorial, short_lines
-from .sources.logs import assoc_preset, log_retrieval, path_search_preset
-from .streaming.mirror import mirror_messages
+from .sources.logs import assoc_preset, log_retrieval, path_search_preset, read_log_days, read_log_on, save_log_days
+from .streaming.mirror import mirror_messages, mirrored
 
 LONG = fx.FIXTURE_LONG_TYPES
 SHORT = fx.FIXTURE_SHORT_TYPES
@@ -49,6 +51,7 @@ VOICE_AS_OF = "20240131"
 SAMPLE_SEED = 42
 MIRROR_TOPICS = ("view", "click")
 GAP_ORIGIN = "19950101"
+CATALOG_PARTS = 5
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -99,6 +102,46 @@ def q_scan_score_matrix(spark, d):
     return scan_score_matrix(fx.score_matrix(spark, d), C.day_add(VOICE_AS_OF, -1))
 
 
+def _play_table(spark, d):
+    """The play log as a day-partitioned table of the session's catalog, made anew for each call."""
+    name = f"play_log_{uuid.uuid4().hex}"
+    save_log_days(fx.play_log(spark, d), name, scratch_path(spark, name))
+    return name
+
+
+def q_table_log_window(spark, d):
+    """A7 with C5: the play log from a day on, read by its table's name; earlier partitions are not read."""
+    log = read_log_days(spark, _play_table(spark, d), WINDOW_AS_OF, WINDOW_DAYS)
+    return log.select("event_id", "user_id", "sid", "content_type", "key_day")
+
+
+def _weekends(spark, d, day_col):
+    """The weekend days of a calendar of all days with an event."""
+    day = F.to_date("ts")
+    calendar = fx.read_table(spark, d, "events").select(
+        F.date_format(day, "yyyyMMdd").cast("int").alias(day_col), day.alias("day")).distinct()
+    return written(calendar, "calendar").where(D.is_weekend("day"))
+
+
+def q_weekend_plays(spark, d):
+    """A1/A2 with H11: plays per weekend day and type; the days come from a calendar of all days with an event."""
+    plays = read_log_on(spark.table(_play_table(spark, d)), _weekends(spark, d, "key_day"))
+    return A.play_counts(plays, ["key_day", "content_type"])
+
+
+def q_weekend_scores(spark, d):
+    """A4: score sums of all weekend days' partitions of a day-partitioned score matrix."""
+    name = f"score_matrix_{uuid.uuid4().hex}"
+    matrix = save_log_days(fx.score_matrix(spark, d), name, scratch_path(spark, name), "partition_tag")
+    scores = read_log_on(matrix, _weekends(spark, d, "partition_tag"), "partition_tag")
+    return A.score_sums(scores).select("sid_or_subject_code", _r6("score"))
+
+
+def q_catalog_id_ranges(spark, d):
+    """The id ranges that the catalog is read in, with equally many rows in each."""
+    return id_ranges(fx.catalog(spark, d), "id", CATALOG_PARTS)
+
+
 def q_log_retrieval(spark, d):
     fields, cond, results = assoc_preset(ALL, hour_source="key_hour", hour_expr="lpad(CAST(key_hour AS STRING), 2, '0')")
     return log_retrieval(fx.play_log(spark, d), PLAY_AS_OF, PLAY_DAYS, cond, fields, results)
@@ -466,6 +509,12 @@ def q_topic_mirror(spark, d):
     return mirror_messages(fx.topic_messages(spark, d), MIRROR_TOPICS)
 
 
+def q_topic_mirror_stream(spark, d):
+    """B4 as it runs: a stream over the table's files, through the mirror into a file sink, and what arrived there."""
+    folder = scratch_path(spark, "mirror")
+    return mirrored(fx.topic_message_stream(spark, d), MIRROR_TOPICS, f"{folder}/sink", f"{folder}/checkpoint")
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

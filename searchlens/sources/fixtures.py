@@ -60,9 +60,13 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(size > 40, 1).otherwise(0).alias("app_version_flag"),
         F.when(size % 10 == 0, 1).otherwise(0).alias("risk_flag"),
     )
-    renamed = base.where("id % 50 = 0").withColumn("title", F.concat("title", F.lit(" II"))).withColumn("id", F.col("id") + 10**9)
-    repeated = base.where("id % 75 = 0").withColumn("id", F.col("id") + 2 * 10**9)
-    return base.unionByName(renamed).unionByName(repeated)
+    # One scan: the number of 10^9 that each listing's id is moved by. 0 is the first listing, 1 another title, 2 the same.
+    listings = F.filter(F.array(F.lit(0), F.when(F.col("id") % 50 == 0, 1), F.when(F.col("id") % 75 == 0, 2)), lambda x: x.isNotNull())
+    listed = base.withColumn("_listing", F.explode(listings))
+    return listed.select(
+        (F.col("id") + F.col("_listing") * F.lit(10**9).cast("bigint")).alias("id"), "sid", "content_type",
+        F.when(F.col("_listing") == 1, F.concat("title", F.lit(" II"))).otherwise(F.col("title")).alias("title"),
+        "type", "status", "video_type", "app_version_flag", "risk_flag")
 
 
 def _events_with_part(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,8 +169,20 @@ def access_log_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def topic_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as ``(topic, key, value)`` messages, the shape a topic mirror copies."""
-    e = read_table(spark, sf_dir, "events")
-    return e.select(
+    return _messages(read_table(spark, sf_dir, "events"))
+
+
+def topic_message_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:
+    """The same as a stream over the table's files."""
+    reader = spark.readStream.schema(read_table(spark, sf_dir, "events").schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    # A pattern, since a stream's plain path must be a folder, and the table may be one file.
+    return _messages(reader.parquet(f"{sf_dir}/events.parque[t]"))
+
+
+def _messages(events: DataFrame) -> DataFrame:
+    return events.select(
         F.col("event_type").alias("topic"),
         F.col("event_id").cast("string").alias("key"),
         F.col("props").alias("value"),

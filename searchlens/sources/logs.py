@@ -10,11 +10,16 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import config
 from ..operators.filters import filter_window
 
 
+# Days that a table of days may have to be broadcast: a hundred years.
+MAX_DAYS = 36_525
+
+
 def scan_log(
     log: DataFrame,
     columns: Mapping[str, str | Column] | Sequence[str],
@@ -48,6 +53,31 @@ def read_log_days(spark: SparkSession, source: str, as_of: str | int, days: int,
     return filter_window(df, as_of, days, day_col=day_col)
 
 
+def read_log_on(log: DataFrame, days: DataFrame, day_col: str = "key_day") -> DataFrame:
+    """A1/A2 for days that a table lists: rows of a day-partitioned log whose day is in ``days``.
+
+    ``days`` has the days in ``day_col``, each once, and as a rule a condition
+    of its own. The days are counted, and at most ``MAX_DAYS`` are broadcast;
+    Spark then reads only their partitions of the log (dynamic pruning).
+    """
+    days = days.select(day_col)
+    if days.limit(MAX_DAYS + 1).count() <= MAX_DAYS:
+        days = F.broadcast(days)
+    return log.join(days, day_col)
+
+
+def save_log_days(log: DataFrame, table: str, path: str, day_col: str = "key_day") -> DataFrame:
+    """``log`` as a day-partitioned table of the session's catalog, its files under ``path``, read back by its name.
+
+    Rows are dealt by day and salt, so that no task writes a whole day; each
+    task writes few days.
+    """
+    salts = int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.pmod(F.xxhash64(*log.columns), F.lit(salts))
+    log.repartition(F.col(day_col), salt).write.format("parquet").partitionBy(day_col).option("path", path).saveAsTable(table)
+    return log.sparkSession.table(table)
+
+
 def log_retrieval(
     log: DataFrame,
     as_of: str | int,

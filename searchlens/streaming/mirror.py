@@ -73,7 +73,22 @@ def start_topic_mirror(
     query_name: str | None = None,
 ) -> StreamingQuery:
     """Start the mirror; ``trigger`` e.g. ``{"processingTime": "10 seconds"}`` or ``{"availableNow": True}``."""
-    out = mirror_messages(read_message_stream(spark, source_format, topics, source_path, source_options), topics)
+    messages = read_message_stream(spark, source_format, topics, source_path, source_options)
+    return mirror_stream(messages, topics, checkpoint_location, sink_format, sink_path, sink_options, trigger, query_name)
+
+
+def mirror_stream(
+    messages: DataFrame,
+    topics: Iterable[str] | str,
+    checkpoint_location: str,
+    sink_format: str = "kafka",
+    sink_path: str | None = None,
+    sink_options: Mapping[str, str] | None = None,
+    trigger: Mapping[str, object] | None = None,
+    query_name: str | None = None,
+) -> StreamingQuery:
+    """The mirror over any stream of messages."""
+    out = mirror_messages(messages, topics)
     w = out.writeStream.format(sink_format).option("checkpointLocation", checkpoint_location).outputMode("append")
     for k, v in (sink_options or {}).items():
         w = w.option(k, v)
@@ -84,3 +99,16 @@ def start_topic_mirror(
     if sink_format == "kafka":
         return w.start()
     return w.start(sink_path)
+
+
+def mirrored(messages: DataFrame, topics: Iterable[str] | str, sink_path: str, checkpoint_location: str) -> DataFrame:
+    """Everything that ``messages`` (a stream) holds by now, mirrored into parquet files, and what has arrived there.
+
+    The checkpoint keeps how far the source was read and the sink which
+    batches are whole, so a run that is stopped between or within batches
+    goes on where it was, and nothing arrives twice.
+    """
+    query = mirror_stream(messages, topics, checkpoint_location, "parquet", sink_path, trigger={"availableNow": True})
+    query.awaitTermination()
+    # The sink's own log lists the files of whole batches. An empty sink has a log, but no file to take a schema from.
+    return messages.sparkSession.read.schema(mirror_messages(messages, topics).schema).parquet(sink_path)

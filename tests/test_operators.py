@@ -9,6 +9,7 @@ from searchlens.functions import scalars as S
 from searchlens.functions import titles as T
 from searchlens.operators import aggregates as A
 from searchlens.operators import filters as C
+from .conftest import SF_SMALL
 from searchlens.operators.features import encode_categories, index_categories, vector_columns
 from searchlens.operators.joins import join_catalog_type, join_titles, keep_valid
 from searchlens.operators.ranking import seeded_sample, top_k
@@ -360,10 +361,58 @@ def test_read_catalog_jdbc_options():
     log = []
     spark = SimpleNamespace(read=SimpleNamespace(format=lambda fmt: _FakeJdbcReader(log) if fmt == "jdbc" else None))
     read_catalog_jdbc(spark, "jdbc:db://host/cms", "basecontent", ["sid", "content_type"],
-                      condition="type = 1 AND status = 1", properties={"user": "u"})
+                      condition="type = 1 AND status = 1", properties={"user": "u"}, equal_rows=False)
     bounds_q, main_q, select = log
     assert bounds_q["dbtable"] == "(SELECT min(id) lo, max(id) hi FROM basecontent WHERE type = 1 AND status = 1) b"
     assert main_q["dbtable"] == "(SELECT sid, content_type, id FROM basecontent WHERE type = 1 AND status = 1) catalog_rows"
     assert (main_q["partitionColumn"], main_q["lowerBound"], main_q["upperBound"], main_q["numPartitions"]) == ("id", "3", "42", "5")
     assert main_q["user"] == "u" and main_q["url"] == "jdbc:db://host/cms"
     assert select == ("select", ("sid", "content_type"))
+
+
+def test_read_catalog_jdbc_in_ranges_of_equal_rows(spark, monkeypatch):
+    from types import SimpleNamespace
+    from searchlens.sources import catalog
+    log, asked = [], []
+    # The ids come from the stand-in reader; their ranges are found by Spark on a table with a wide gap.
+    ids = spark.range(100).select((F.col("id") + F.when(F.col("id") >= 95, 10**9).otherwise(0)).alias("id"))
+
+    class _Reader(_FakeJdbcReader):
+        def load(self):
+            return ids if self.opts.get("dbtable", "").startswith("(SELECT id FROM") else super().load()
+
+    class _Rows:
+        def select(self, *cols):
+            return cols
+
+    fake = SimpleNamespace(read=SimpleNamespace(
+        format=lambda fmt: _Reader(log), jdbc=lambda *a, **k: asked.append((a, k)) or _Rows()))
+    out = catalog.read_catalog_jdbc(fake, "jdbc:db://host/cms", "basecontent", ["sid", "content_type"], condition="type = 1",
+                                    num_partitions=4, properties={"user": "u"})
+    ((url, query), options), = asked
+    assert url == "jdbc:db://host/cms" and query == "(SELECT sid, content_type, id FROM basecontent WHERE type = 1) catalog_rows"
+    assert options == {"properties": {"user": "u"}, "predicates": [
+        "id <= 24 OR id IS NULL", "id > 24 AND id <= 49", "id > 49 AND id <= 74", "id > 74"]}
+    assert out == ("sid", "content_type")
+
+
+def test_id_ranges_hold_equally_many_rows(spark):
+    from searchlens.sources.catalog import id_ranges, range_predicates
+    from searchlens.sources import fixtures as fx
+    catalog = fx.catalog(spark, SF_SMALL)
+    total = catalog.count()
+    ranges = id_ranges(catalog, "id", 5).orderBy("part").collect()
+    assert len(ranges) == 5 and sum(r["n"] for r in ranges) == total
+    assert max(r["n"] for r in ranges) - min(r["n"] for r in ranges) <= 1
+    # Equal widths would put nearly all rows in the first of them.
+    width = (max(r["high"] for r in ranges) + 1) // 5
+    assert catalog.where(F.col("id") < width).count() > 0.9 * total
+    # Every row meets one predicate.
+    predicates = range_predicates("id", [r["high"] for r in ranges[:-1]])
+    rows = catalog.select("id").unionByName(spark.createDataFrame([(None,)], "id bigint"))
+    hits = [rows.where(p).count() for p in predicates]
+    assert hits == [ranges[0]["n"] + 1] + [r["n"] for r in ranges[1:]]
+    # Many rows with one id, and fewer ids than ranges.
+    few = spark.createDataFrame([(7,)] * 90 + [(8,)] * 5 + [(None,)], "id bigint")
+    assert [tuple(r) for r in id_ranges(few, "id", 5).orderBy("part").collect()] == [(0, 7, 7, 90), (4, 8, 8, 5)]
+    assert id_ranges(few.limit(0), "id", 5).count() == 0 and range_predicates("id", []) == ["1 = 1"]

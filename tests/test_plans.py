@@ -133,7 +133,7 @@ def test_day_window_prunes_partitions(spark):
 # broadcast them.)
 SHUFFLES = {"assoc_top_videos": 2, "assoc_top_videos_by_id": 2, "preference_profile": 3, "pref_payload": 3,
             "heat_score": 4, "hot_by_type": 5, "hot_total": 5, "hot_lines": 5, "hot_payload": 6, "unique_searchers": 2,
-            "video_rollup": 3, "voice_scores": 1, "kids_play_rank": 4, "editorial_sample": 1, "editorial_payload": 2}
+            "video_rollup": 3, "voice_scores": 1, "kids_play_rank": 4, "hot_by_type_three_logs": 5, "editorial_sample": 1, "editorial_payload": 2}
 
 
 def test_shuffle_counts_do_not_grow(spark):
@@ -157,3 +157,37 @@ def test_score_matrix_day_prunes_partitions(spark):
     assert [r[0] for r in day.select("partition_tag").distinct().collect()] == [20240130]
     want = fx.score_matrix(spark, SF_SMALL).where("partition_tag = 20240130").count()
     assert day.count() == want > 0
+
+
+def test_a_catalog_table_is_read_by_its_partitions(spark):
+    df = R.q_table_log_window(spark, SF_SMALL)
+    text = formatted(df)
+    assert "PartitionFilters: [isnotnull(key_day" in text and "> 20240117)" in text
+    days = {r[0] for r in df.select("key_day").distinct().collect()}
+    assert days == set(range(20240118, 20240131)) and {f.split("key_day=")[1][:8] for f in df.inputFiles()} == set(map(str, days))
+
+
+@pytest.mark.parametrize("query", [R.q_weekend_plays, R.q_weekend_scores])
+def test_a_table_of_days_prunes_the_log(spark, query):
+    df = query(spark, SF_SMALL)
+    assert "dynamicpruning" in formatted(df)
+    df.collect()
+    scan = [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "dynamicpruning" in line]
+    assert scan
+
+
+def test_three_logs_are_one_scan_and_one_distinct(spark):
+    tree = formatted(R.q_hot_by_type_three_logs(spark, SF_SMALL)).split("\n\n")[0]
+    one = formatted(R.q_hot_by_type(spark, SF_SMALL)).split("\n\n")[0]
+    assert tree.count("Generate") == one.count("Generate") + 1
+    # lineitem, orders and part once for the log; part once more for the paths
+    assert tree.count("Scan parquet") == one.count("Scan parquet") + 1
+
+
+def test_many_days_are_not_broadcast(spark, monkeypatch):
+    from searchlens.sources import logs
+    log = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "key_day int, sid string")
+    days = spark.createDataFrame([(1,), (3,)], "key_day int")
+    for most in (36_525, 1):
+        monkeypatch.setattr(logs, "MAX_DAYS", most)
+        assert sorted(r["sid"] for r in logs.read_log_on(log, days).collect()) == ["a", "c"]

@@ -72,3 +72,47 @@ def test_kafka_wiring_without_a_broker():
     write_messages(SimpleNamespace(write=writer), "kafka", options={"kafka.bootstrap.servers": "b:9092"})
     assert ("format", ("kafka",)) in writer.calls and ("save", ()) in writer.calls
     assert not any(name == "partitionBy" for name, _ in writer.calls)
+
+
+def _stop_after_first_batch(stream, topics, sink, checkpoint):
+    """Run the mirror without end and stop it once a batch is through."""
+    import time
+    from searchlens.streaming.mirror import mirror_stream
+    q = mirror_stream(stream, topics, checkpoint, "parquet", sink, trigger={"processingTime": "3 seconds"})
+    for _ in range(600):
+        if any(p["batchId"] >= 0 and p["numInputRows"] for p in q.recentProgress):
+            break
+        time.sleep(0.05)
+    q.stop()
+    return q
+
+
+def test_the_mirror_of_a_table_as_a_stream(spark, tmp_path):
+    from searchlens import registry as R
+    from searchlens.sources import fixtures as fx
+    from searchlens.streaming.mirror import mirrored
+
+    from .conftest import SF_SMALL
+    want = sorted(map(tuple, R.q_topic_mirror(spark, SF_SMALL).collect()))
+    assert want and sorted(map(tuple, R.q_topic_mirror_stream(spark, SF_SMALL).collect())) == want
+    # The same table in many files, one a batch, with a stop in between.
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(5).write.parquet(f"{tmp_path}/in/events.parquet")
+    stream = fx.topic_message_stream(spark, f"{tmp_path}/in", files_per_batch=1)
+    sink, checkpoint = f"{tmp_path}/sink", f"{tmp_path}/checkpoint"
+    _stop_after_first_batch(stream, R.MIRROR_TOPICS, sink, checkpoint)
+    part = spark.read.parquet(sink).count()
+    assert 0 < part < len(want)
+    assert sorted(map(tuple, mirrored(stream, R.MIRROR_TOPICS, sink, checkpoint).collect())) == want
+    assert len(os.listdir(f"{checkpoint}/commits")) >= 5
+    # Nothing new: nothing arrives again.
+    assert mirrored(stream, R.MIRROR_TOPICS, sink, checkpoint).count() == len(want)
+
+
+def test_the_mirror_of_nothing(spark, tmp_path):
+    from searchlens.sources import fixtures as fx
+    from searchlens.streaming.mirror import mirrored
+
+    from .conftest import SF_SMALL
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").limit(0).write.parquet(f"{tmp_path}/in/events.parquet")
+    stream = fx.topic_message_stream(spark, f"{tmp_path}/in")
+    assert mirrored(stream, ["view"], f"{tmp_path}/sink", f"{tmp_path}/checkpoint").count() == 0
