@@ -1,6 +1,8 @@
+import base64
 import hashlib
 import random
 import re
+import uuid
 
 import numpy as np
 import pytest
@@ -48,6 +50,49 @@ def net():
     return S.fit(_rows(random.Random(1), 150))
 
 
+LOWER = "abcdefghijklmnopqrstuvwxyz"
+SECRETS = {
+    "hex": lambda r: r.randbytes(12).hex(),
+    "base64": lambda r: base64.b64encode(r.randbytes(30)).decode(),
+    "prefixed": lambda r: "ghp_" + "".join(r.choices(LOWER + LOWER.upper() + "0123456789", k=36)),
+    "named": lambda r: "pwd=" + "".join(r.choices(LOWER + LOWER.upper() + "0123456789", k=12)),
+    "capitals": lambda r: "".join(r.choices(LOWER.upper() + "0123456789", k=20)),
+    "passphrase": lambda r: "passphrase: " + "".join(r.sample(["quiet", "falcon", "ladder", "marble", "ocean", "pepper", "violin"], 3)),
+}
+HARMLESS = {
+    "path": lambda r: r.choice(["/usr/local/lib/python3.13/site-packages", "/var/log/nginx/access.log.1", "src/test/java/AppTest1.java",
+                                "/opt/conda/envs/py310/bin/python3", "docs/2023/10/weekly-report.html"]),
+    "url": lambda r: f"https://www.{r.choice(['wikipedia', 'nytimes', 'stackoverflow'])}.org/{r.choice(['wiki', 'questions', 'articles'])}/"
+                     f"{r.choice(['Machine_learning', '12345678', 'how-to-parse-json-in-python3'])}{r.randrange(100)}",
+    "uuid": lambda r: str(uuid.UUID(int=r.getrandbits(128))),
+    "version": lambda r: r.choice(["numpy-1.26.4", "v2.13.0-rc1", "openjdk-17.0.9", "3.11.4-slim-bookworm"]) + f".{r.randrange(99)}",
+    "number": lambda r: "".join(r.choices("0123456789", k=r.randrange(9, 19))),
+    "host": lambda r: f"{r.randrange(256)}.{r.randrange(256)}.{r.randrange(256)}.{r.randrange(256)} node{r.randrange(99)}.cluster.local",
+}
+
+
+def _flagged(net, rng, texts, make, times=150):
+    """The share of made values, planted into texts, that an added span touches."""
+    hits = 0
+    for _ in range(times):
+        text, value = rng.choice(texts), make(rng)
+        at = text.find(" ", rng.randrange(len(text) // 2)) + 1
+        planted = text[:at] + value + " " + text[at:]
+        hits += any(k == "model" and s < at + len(value) and e > at for k, s, e in S.scan(planted, net)[1])
+    return hits / times
+
+
+@pytest.mark.parametrize("scale", ["0.01", "0.1"])
+def test_planted_secrets_and_harmless_strings(spark, scale):
+    """Values of another generator than the one that the network was taught with, in the table's texts."""
+    docs = spark.read.parquet(f"{SF.replace('0.001', scale)}/documents.parquet")
+    net, rng = S.train(docs), random.Random(11)
+    texts = [r["text"] for r in docs.where("length(text) BETWEEN 200 AND 2000").orderBy("doc_id").limit(200).collect()]
+    found = {k: _flagged(net, rng, texts, f) for k, f in SECRETS.items()}
+    wrong = {k: _flagged(net, rng, texts, f) for k, f in HARMLESS.items()}
+    assert min(found.values()) >= 0.9 and max(wrong.values()) <= 0.02, (found, wrong)
+
+
 def test_gradient_is_that_of_the_loss():
     rng = np.random.default_rng(0)
     p = {k: v.astype(np.float64) for k, v in S._start(rng).items()}
@@ -67,15 +112,6 @@ def test_gradient_is_that_of_the_loss():
             assert abs(slope - grad[name][at]) < 1e-4 + 0.02 * abs(slope), name
 
 
-def test_network_finds_held_out_secrets(net):
-    rows = _rows(random.Random(2), 60)
-    codes = np.stack([S.encode(b, i, a) for b, i, a, _ in rows])
-    p = net.probability(codes)
-    over = np.array([x >= net.thresholds[S.kind_of(r[1])] for x, r in zip(p, rows, strict=True)])
-    secret = np.array([r[3] == 1 for r in rows])
-    assert over[secret].mean() >= 0.9 and over[~secret].mean() <= 0.02
-
-
 def test_added_spans_and_base_spans(net):
     text = "see note 1b7db7aa4a5fcc78305e then password=b7db7aa4a5fcc78305 and mail 42.144.35.254 end"
     base, spans = S.scan(text, net)
@@ -90,12 +126,8 @@ def _path(rng, least):
     return out + "/"
 
 
-def test_long_candidates_are_scored_over_their_whole_length():
+def test_long_candidates_are_scored_over_their_whole_length(net):
     rng = random.Random(3)
-    rows = _rows(rng, 150)
-    for _ in range(150):
-        rows += S.labelled_findings(f"see {_path(rng, 60)}a{rng.randint(1, 99)} end")
-    net = S.fit(rows)
     for least in (50, 150, 3000):
         for k in range(5):
             lead = _path(rng, least)
@@ -109,17 +141,38 @@ def test_long_candidates_are_scored_over_their_whole_length():
 
 
 def test_every_kind_keeps_its_recall_of_held_out_secrets(monkeypatch):
-    rows = _rows(random.Random(6), 150)
-    flat = lambda net, codes: 0.8 * np.asarray(codes)[:, 0] / 97 + 0.01  # noqa: E731, scores that are all under 0.9
+    held = []
+    shown = S._shown
+    monkeypatch.setattr(S, "MADE", 2000)
+    monkeypatch.setattr(S, "_shown", lambda *a: held.append(shown(*a)) or held[-1])
     monkeypatch.setattr(S, "_fit_network", lambda codes, labels, rng: {"none": np.zeros(1)})
-    monkeypatch.setattr(S.Network, "raw", lambda net, codes: np.zeros(len(codes)))
-    monkeypatch.setattr(S.Network, "probability", flat)
-    held = [r for r in rows if hashlib.md5(r[1].encode()).digest()[0] % 5 == 0]
-    net = S.fit(rows)
-    secrets = [r for r in held if r[3]]
-    p = flat(net, np.stack([S.encode(*r[:3]) for r in secrets]))
-    kept = [x >= net.thresholds[S.kind_of(r[1])] for x, r in zip(p, secrets, strict=True)]
-    assert np.mean(kept) >= 0.9 and max(net.thresholds) < 0.9
+    monkeypatch.setattr(S.Network, "raw", lambda net, codes: np.asarray(codes).sum(1) / 4000)   # scores that say little
+    net = S.fit(_rows(random.Random(6), 150))
+    codes, labels, kinds = held[-1]
+    p = net.probability(codes)
+    for k in range(4):
+        own = (labels == 1) & (kinds == k)
+        assert own.sum() >= S.LEAST_HELD
+        assert np.mean(p[own] >= net.thresholds[k]) >= S.RECALL > np.mean(p[own] > net.thresholds[k])
+
+
+def test_a_kind_with_few_held_out_secrets_takes_the_threshold_of_all(monkeypatch):
+    monkeypatch.setattr(S, "MADE", 400)
+    monkeypatch.setattr(S, "LEAST_HELD", 10**6)
+    monkeypatch.setattr(S, "_fit_network", lambda codes, labels, rng: {"none": np.zeros(1)})
+    monkeypatch.setattr(S.Network, "raw", lambda net, codes: np.asarray(codes).sum(1) / 4000)
+    assert len(set(S.fit(_rows(random.Random(6), 50)).thresholds)) == 1
+
+
+def test_secrets_are_taught_in_the_windows_of_the_scan():
+    value = "aB3" * 40
+    text = "x " * 20 + "password=" + value + " end"
+    rows = S.known_secrets(text, S.base_spans(text))
+    assert len(rows) > 3 and all(len(i) <= S.INSIDE for _, i, _, _ in rows)
+    assert {i for _, i, _, _ in rows} == {text[s:e] for s, e in S.windows(text, text.index(value), text.index(value) + len(value))}
+    made = list(S._fits("some words ", "/srv/app/current/config/tokens/ghp_16C7e42F292c6912E7710c838347Ae178B4a", " end", 1))
+    assert made and all(len(i) <= S.INSIDE and y == 1 for _, i, _, y in made)
+    assert list(S._fits("word ", "lowercaseword", " end", 0)) == []    # no candidate
 
 
 def test_candidates_like_known_secrets_are_not_taught_as_others():
@@ -129,19 +182,14 @@ def test_candidates_like_known_secrets_are_not_taught_as_others():
     assert S.taught([secret, same, alike, *others]) == [secret, *others]
 
 
-def test_values_of_assignments_are_candidates():
+def test_values_of_assignments_are_candidates(net):
     for text, value in (("pwd: correcthorsebattery end", "correcthorsebattery"), ("passphrase = zebraquiltmango", "zebraquiltmango"),
                         ("a client_key=QWERTYUIOPASDF b", "QWERTYUIOPASDF"), ('{"pass" : "zebraquiltmango"}', "zebraquiltmango"),
                         ("é:'allsmallletters'", "allsmallletters"), ("pwd=sevenly", None), (" = zebraquiltmango", None),
                         ("just ordinary sentences of something", None), ("password: zebraquiltmango", None)):
         assert [text[s:e] for s, e in S.candidates(text, S.base_spans(text))] == ([value] if value else []), text
-    rng = random.Random(7)
-    rows = _rows(rng, 100)
-    for _ in range(100):
-        rows += S.known_secrets(t := "password=" + "".join(rng.choice("bcdfghjkz") for _ in range(18)) + " end", S.base_spans(t))
-        rows += S.other_findings(t := f"note: {''.join(rng.choice('aeioulnrst') for _ in range(12))} end", S.base_spans(t))
     text = "pwd=zkbdfgcjhkzbdfghkj end"
-    assert S.scan(text, S.fit(rows))[1] == [("model", 4, 22)]
+    assert S.scan(text, net)[1] == [("model", 4, 22)]
 
 
 def test_without_findings_nothing_is_added():
@@ -178,9 +226,10 @@ def test_rare_secrets_are_learnt_from_all_documents(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(S, "fit", lambda rows: seen.append(rows))
     S.train(docs, sample_docs=10)
-    assert sum(r[3] for r in seen[0]) == 50 and 0 < sum(not r[3] for r in seen[0]) <= 20
+    labels = [[r[3] for r in rows] for rows in seen]
+    assert labels[0].count(S.SECRET) == 50 and 0 < labels[0].count(S.OTHER) <= 20 and 0 < labels[0].count(S.CONTEXT) <= 20
     S.train(docs, sample_docs=10, sample_findings=60)
-    assert sum(r[3] for r in seen[1]) == 30
+    assert [r[3] for r in seen[1]].count(S.SECRET) == 30
 
 
 def test_awkward_documents(spark):
