@@ -2,7 +2,8 @@
 
 A stable key decides the shard, with no ring table: the published jump hash walks a key-seeded random sequence and
 stops at the last jump inside the shard count. When a shard is appended, exactly the keys whose next jump lands on it
-move, a fraction of 1/(n+1) in expectation; no row moves between old shards.
+move, a fraction of 1/(n+1) in expectation; no row moves between old shards. A key of any integer type is hashed as
+a 64-bit integer, so that the column's type does not decide the shard; keys of other types are hashed as they are.
 
 Everything is SQL expressions. Defined results: a null key is a key like any other (all null keys share a shard); a
 null text has size 8 and the crc32 of no bytes; repeated rows get slots of their own; an empty table gives no rows;
@@ -52,6 +53,11 @@ def jump_shard(key: Column, shards: int) -> Column:
                        lambda s, _: F.when(s["j"] < shards, jump(s)).otherwise(s), lambda s: s["b"].cast("int"))
 
 
+def stable_key(key: Column, kind: str) -> Column:
+    """The 64-bit hash of a key of the given column type, the same for all integer types."""
+    return F.xxhash64(key.cast("bigint") if kind in ("tinyint", "smallint", "int") else key)
+
+
 def shard_rows(docs: DataFrame, shards: int = 24, key: str = "doc_id", ident: str = "doc_id", text: str = "text",
                cell_rows: int = 20_000) -> DataFrame:
     """One row per document: its shard, the shard with one more, and a gapless slot in its shard.
@@ -60,7 +66,7 @@ def shard_rows(docs: DataFrame, shards: int = 24, key: str = "doc_id", ident: st
     numbers its own rows and starts where the cells before it end. The cell hashes the id together with the input
     partition, so that an id that repeats over a third of all rows is spread too.
     """
-    hashed = F.xxhash64(F.col(key))
+    hashed = stable_key(F.col(key), dict(docs.dtypes)[key])
     base = saved(docs.select(
         F.col(ident).alias("doc_id"),
         (F.octet_length(text_of(text)) + 8).cast("bigint").alias("size"),

@@ -65,3 +65,13 @@ def test_an_id_that_repeats_over_a_third_of_the_rows(spark):
 
 def test_empty_table(spark):
     assert shard_rows(edge_docs(spark, [])).count() == 0
+
+
+def test_the_type_of_integer_ids_does_not_decide(spark):
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    want = {r["doc_id"]: (r["shard"], r["grown_shard"]) for r in shard_rows(docs).collect()}
+    for kind in ("int", "smallint"):
+        own = shard_rows(docs.withColumn("doc_id", F.col("doc_id").cast(kind))).collect()
+        assert {r["doc_id"]: (r["shard"], r["grown_shard"]) for r in own} == want
+    texts = shard_rows(docs.withColumn("doc_id", F.col("doc_id").cast("string"))).collect()
+    assert {r["shard"] for r in texts} == set(range(24)) and all(r["grown_shard"] in (r["shard"], 24) for r in texts)
