@@ -10,7 +10,8 @@ the driver gathers and what is broadcast. Nothing but the text enters a score.
 
 Defined results: a null or empty text is a text without terms, whose neighbours are the labelled texts nearest to
 none, that is all with weight zero, so it gets the share of good labels; labels that are null, or whose document is missing, are not
-learnt from; without any labels every score is 1; repeated rows get equal scores; other columns are ignored or, in
+learnt from; without any labels every score is 1; of labelled texts that are equally near, to six places, those with
+the smallest ids vote; repeated rows get equal scores; other columns are ignored or, in
 ``keep_good``, kept whatever their names.
 """
 
@@ -43,7 +44,7 @@ _KIND[0xC0:], _KIND[0x80:0xC0] = 6, 7
 _marks = [b for b in range(33, 127) if not (48 <= b < 58 or 65 <= b < 91 or 97 <= b < 123)]
 _KIND[_marks] = np.arange(8, 8 + len(_marks))
 KINDS = 8 + len(_marks)
-BUCKETS = 1 << 10    # of each kind of trigram
+BUCKETS = 1 << 11    # of each kind of trigram
 _KIND_TERMS = KINDS ** 3
 _FOLD = ((np.arange(_KIND_TERMS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(65 - BUCKETS.bit_length())).astype(np.int64)
 TERMS = 2 * BUCKETS + 4
@@ -84,6 +85,10 @@ def term_matrix(texts: list[str]) -> np.ndarray:
     return np.stack([term_counts(t) for t in texts]) if texts else np.zeros((0, TERMS), np.float32)
 
 
+def _unit(x: np.ndarray) -> np.ndarray:
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+
+
 @dataclass
 class Model:
     """The latent space and the labelled vectors in it."""
@@ -95,8 +100,7 @@ class Model:
     neighbours: int = NEIGHBOURS
 
     def embed(self, terms: np.ndarray) -> np.ndarray:
-        x = (terms * self.weights) @ self.space
-        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+        return _unit((terms * self.weights) @ self.space)
 
     def score(self, texts: list[str]) -> np.ndarray:
         if not len(self.labels):
@@ -108,9 +112,15 @@ class Model:
         return out
 
     def _vote(self, x: np.ndarray) -> np.ndarray:
-        close = x @ self.vectors.T
+        close = np.round(x @ self.vectors.T, 6)   # what differs by rounding alone is the same
         n = min(self.neighbours, close.shape[1])
         near = np.argpartition(-close, n - 1, axis=1)[:, :n]
+        # Of equally near texts at the last place those with the smallest ids vote; they come first.
+        last = np.take_along_axis(close, near, axis=1).min(axis=1)
+        for i in np.flatnonzero((close >= last[:, None]).sum(axis=1) > n):
+            tied = np.flatnonzero(close[i] >= last[i])
+            near[i] = tied[np.argsort(-close[i, tied], kind="stable")[:n]]
+        near.sort(axis=1)   # added up in one order
         w = np.maximum(np.take_along_axis(close, near, axis=1), 0).astype(np.float64)
         total = w.sum(axis=1)
         voted = (w * self.labels[near]).sum(axis=1) / np.maximum(total, 1e-12)
@@ -123,7 +133,7 @@ def fit(terms: np.ndarray, labels: np.ndarray, rank: int = RANK, neighbours: int
         return Model(np.ones(TERMS, np.float32), np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), labels)
     idf = np.log1p(len(labels) / (1.0 + (terms > 0).sum(axis=0))).astype(np.float32)
     idf[-4:] = idf[:-4].max()
-    x = terms * idf
+    x = np.multiply(terms, idf, dtype=np.float32)
     rank = min(rank, *x.shape)
     q = np.random.default_rng(seed).standard_normal((x.shape[1], min(rank + 16, x.shape[1]))).astype(np.float32)
     for _ in range(6):
@@ -131,7 +141,7 @@ def fit(terms: np.ndarray, labels: np.ndarray, rank: int = RANK, neighbours: int
     _, _, v = np.linalg.svd(x @ q, full_matrices=False)
     space = (q @ v.T)[:, :rank].astype(np.float32)
     model = Model(idf, space, np.zeros((0, rank), np.float32), labels.astype(np.float64), neighbours)
-    model.vectors = model.embed(terms)
+    model.vectors = _unit(x @ space)
     return model
 
 
@@ -150,15 +160,19 @@ def train(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str =
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches, "text"):
-            rows = [term_counts(t).tobytes() for t in strings(batch.column("text"))]
+            # 16 bits a term are enough for what is learnt from, and half of what the driver gathers.
+            rows = [term_counts(t).astype(np.float16).tobytes() for t in strings(batch.column("text"))]
             yield pa.record_batch([batch.column("id"), batch.column("label"), pa.array(rows, pa.binary())],
                                   names=["id", "label", "terms"])
 
     rows = texts.mapInArrow(terms, f"id {dict(texts.dtypes)['id']}, label int, terms binary").toArrow()
     order = np.argsort(rows.column("id").to_numpy(), kind="stable")
-    vectors = [np.frombuffer(rows.column("terms")[int(i)].as_buffer(), np.float32) for i in order]
-    return fit(np.stack(vectors) if vectors else np.zeros((0, TERMS), np.float32),
-               rows.column("label").to_numpy()[order].astype(np.float64))
+    labels = rows.column("label").to_numpy()[order].astype(np.float64)
+    terms = np.zeros((len(order), TERMS), np.float16)
+    for k, i in enumerate(order):
+        terms[k] = np.frombuffer(rows.column("terms")[int(i)].as_buffer(), np.float16)
+    del rows
+    return fit(terms, labels)
 
 
 def score_documents(docs: DataFrame, model: Model, ident: str = "doc_id", text: str = "text",

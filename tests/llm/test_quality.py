@@ -31,17 +31,29 @@ def test_held_out_labels_and_other_columns_do_not_matter(spark):
     assert np.array_equal(a.vectors, b.vectors) and np.array_equal(a.labels, b.labels)
 
 
+def _slow_vote(model, x):
+    close = np.round(model.vectors @ x, 6)
+    near = sorted(range(len(close)), key=lambda k: (-close[k], k))[:model.neighbours]   # ties go to the smaller id
+    w = [max(float(close[k]), 0.0) for k in near]
+    return sum(a * model.labels[k] for a, k in zip(w, near, strict=True)) / sum(w)
+
+
 def test_votes_are_those_of_the_nearest(spark):
     docs, labels = documents(spark), spark.read.parquet(f"{SF}/labels.parquet")
     model = Q.train(docs, labels)
-    texts = [r["text"] or "" for r in docs.limit(40).collect()]
-    got = model.score(texts)
-    for t, s in zip(texts, got, strict=True):
-        x = model.embed(Q.term_matrix([t]))[0]
-        close = model.vectors @ x
-        near = np.argsort(-close, kind="stable")[:model.neighbours]
-        w = np.maximum(close[near], 0)
-        assert abs((w * model.labels[near]).sum() / w.sum() - s) < 0.16   # ties at the edge may fall either way
+    texts = [r["text"] or "" for r in docs.orderBy("doc_id").limit(60).collect()]
+    x = model.embed(Q.term_matrix(texts))
+    got = model._vote(x)
+    assert np.allclose(got, [_slow_vote(model, v) for v in x], atol=1e-9)
+    # Batches of another size round otherwise, but the votes are the same.
+    assert np.abs(model.score(texts) - np.concatenate([model.score(texts[k:k + 7]) for k in range(0, 60, 7)])).max() < 1e-5
+
+
+def test_ties_at_the_last_place_go_to_the_smaller_ids():
+    vectors = np.zeros((20, 2), np.float32)
+    vectors[:, 0] = 1   # all equally near
+    model = Q.Model(np.ones(1), np.ones((1, 2)), vectors, np.array([1.0] * 4 + [0.0] * 16), 7)
+    assert model._vote(np.array([[1.0, 0.0], [0.5, 0.1]], np.float32)).tolist() == [4 / 7, 4 / 7]
 
 
 def test_long_texts_count_like_short_ones(monkeypatch):
