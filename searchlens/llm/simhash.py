@@ -331,8 +331,9 @@ def _answers(facts: DataFrame, max_bits: int, node_size: int) -> DataFrame:
     labels = components(near_links(fps, max_bits, node_size))
     labelled = saved(fps.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "label", F.coalesce("label", "fp")), "labelled")
-    ids = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    return saved(labelled.join(ids, "label").select("fp", "n", "label", "component_id"), "answers")
+    # A component may hold most fingerprints, so its label is looked up by the number of them.
+    ids = saved(labelled.groupBy("label").agg(F.min("least").alias("component_id"), F.count("*").alias("members")), "components")
+    return saved(lookup(labelled, ids, "label", "members", labelled.count()).select("fp", "n", "label", "component_id"), "answers")
 
 
 def near_dedup(docs: DataFrame, ident: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
@@ -349,6 +350,7 @@ def drop_near_copies(docs: DataFrame, ident: str = "doc_id", text: str = "text",
     """The documents with one of each component left, in the columns of ``docs``.
 
     What stays is named by id and text hash, 16 bytes a document, so texts are shuffled once, to meet that list.
+    Of rows that are equal in id and text, the one whose other columns have the smallest hash stays.
     """
     facts = saved(fingerprints(docs, ident, text, shingle), "facts")
     answers = _answers(facts, max_bits, node_size)
@@ -359,7 +361,8 @@ def drop_near_copies(docs: DataFrame, ident: str = "doc_id", text: str = "text",
                        F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
     k = keep.select(F.struct("id", "text_hash").alias("key"))
     kept = rows.withColumn("key", F.struct("id", "text_hash")).join(k, "key", "left_semi")
-    return kept.groupBy("key").agg(F.first("row").alias("row")).select("row.*")
+    others = F.to_json(F.struct("key.id", *[F.col("row")[c].alias(f"c{i}") for i, c in enumerate(docs.columns) if c != text]))
+    return kept.groupBy("key").agg(F.min_by("row", F.xxhash64(others)).alias("row")).select("row.*")
 
 
 def same_bits(spark: SparkSession, fps: list[int]) -> DataFrame:

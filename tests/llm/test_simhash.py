@@ -119,6 +119,44 @@ def _check(out, texts):
     return len(least)
 
 
+def test_a_star_of_a_third_of_all_nodes(spark):
+    """No task of a round's join gets many more rows than the others."""
+    from statistics import median
+
+    from pyspark.sql import functions as F
+
+    from searchlens.llm.components import _large_star, _small_star
+    n = 30_000
+    star = spark.range(1, n, 1, 16).select(F.lit(0).cast("bigint").alias("u"), F.col("id").alias("v"))
+    pairs = spark.range(n, 3 * n, 2, 16).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
+    paths = spark.range(4 * n, 5 * n, 3, 16).selectExpr("inline(array(struct(id AS u, id + 1 AS v), struct(id + 1 AS u, id + 2 AS v)))")
+    links = saved(star.unionByName(pairs).unionByName(paths).repartition(16), "star-links")
+    names = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        for out in (_large_star(links, links.count(), "t-large"), _small_star(links, links.count(), "t-small")):
+            tasks = [r["count"] for r in out.where("v = 0").groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(tasks) >= n - 1 - 1 and max(tasks) <= 2 * median(tasks) and len(tasks) >= 8
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    got = components(links)
+    assert got.where(f"node < {n}").agg(F.count("*"), F.max("label")).first()[:] == (n, 0)
+    assert got.where(f"node >= {4 * n} AND label = node").count() == n // 3
+
+
+def test_of_rows_alike_in_id_and_text_the_same_one_stays(spark):
+    rows = [(1, "a b c d", "x"), (1, "a b c d", "y"), (1, "a b c d", None), (2, "other words in here", "z")]
+    schema = "doc_id bigint, text string, source string"
+    kept = {tuple(sorted(map(tuple, S.drop_near_copies(spark.createDataFrame(rows[k:] + rows[:k], schema).repartition(3)).collect()), key=str)
+            ) for k in range(3)}
+    assert len(kept) == 1 and len(next(iter(kept))) == 2
+    only = spark.createDataFrame([(1, "a b"), (1, "a b"), (2, None)], "doc_id bigint, text string")
+    assert sorted(map(tuple, S.drop_near_copies(only).collect()), key=str) == [(1, "a b"), (2, None)]
+
+
 def test_awkward_documents(spark):
     docs = edge_docs(spark)
     groups = _check(S.near_dedup(docs), TEXTS)
