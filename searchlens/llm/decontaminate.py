@@ -17,7 +17,7 @@ in blocks of at most ``BLOCK_BYTES``; documents are neither shuffled nor gathere
 window's pairs but five of its shingles, so pairs keep the fingerprints of lightly edited passages close.
 
 Defined results: a null or empty text, of a document or an item, matches nothing; an item of fewer than five words is
-one shingle; equal items are reported each; repeated rows are reported each; an empty table gives no rows; other
+one shingle; equal items are reported each; of equally similar places in a document the first one is reported; repeated rows are reported each; an empty table gives no rows; other
 columns are ignored or, in ``drop_leaks``, kept whatever their names.
 """
 

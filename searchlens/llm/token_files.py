@@ -6,7 +6,7 @@ booleans, false where the last sequence of a file is filled up). Since all batch
 of sequences, and the buffers are stored as they lie in memory, a memory-mapped file gives any sequence and its mask
 as numpy views without a copy. A second stream file beside it lists the documents and their token counts.
 
-Files are numbered in ascending id order, and so are the documents in them.
+Files are numbered in ascending id order, and so are the documents in them; documents without an id come first.
 
 Defined results: a null or empty text is a document with the end id alone; repeated rows are stored as often as they
 occur, in an order that does not matter since they are equal; an empty table gives no files and no rows; other

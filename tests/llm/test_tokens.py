@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from searchlens.llm.packing import best_fit, pack_documents, pack_sizes, packed_sequences, piece_lengths
+from searchlens.llm.packing import LocalSearch, best_fit, pack_documents, pack_sizes, packed_sequences, piece_lengths
 from searchlens.llm.token_files import BATCH, TokenFile, local_files, read_token_files, write_token_files
 from searchlens.llm.tokens import Encoder
 
@@ -75,6 +75,16 @@ def test_token_files_round_trip(spark, enc, files):
     assert np.concatenate(parts).astype("<u4").tobytes() == whole
 
 
+def test_documents_without_an_id_come_first(spark, enc):
+    folder = "file://" + tempfile.mkdtemp(prefix="tokens-")
+    texts = [(3, "three"), (None, "no id"), (1, None), (None, None), (None, "no id")]
+    out = read_token_files(spark, folder, write_token_files(edge_docs(spark, texts), folder, files=3, length=64))
+    rows = sorted(out.collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in rows] == [None, None, None, 1, 3]
+    assert Counter((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in rows) == _expected(enc, texts)
+    assert [r["start"] for r in rows] == [0, *np.cumsum([r["n_tokens"] for r in rows])[:-1]]
+
+
 def test_token_files_of_no_documents(spark):
     folder = "file://" + tempfile.mkdtemp(prefix="tokens-")
     assert read_token_files(spark, folder, write_token_files(edge_docs(spark, []), folder)).count() == 0
@@ -155,3 +165,41 @@ def test_search_finds_what_best_fit_misses():
     """Pairs that fill a bin exactly, which best fit breaks up."""
     sizes = [44, 24, 24, 22, 21, 17, 8, 8, 6, 6]
     assert len(best_fit(sizes, 60)) == 4 > len(pack_sizes(sizes, 60)) == 3
+
+
+def test_every_underfull_bin_gives_not_only_the_emptiest():
+    """Sizes of about a third of a bin: best fit puts the large ones together, and three of them do not fit."""
+    rng = np.random.default_rng(2)
+    sizes = rng.integers(300, 400, 600).tolist()
+    search = LocalSearch(sizes, best_fit(sizes, 1024), 1024)
+    start = int((search.fill ** 2).sum())
+    bins = search.run()
+    assert len(bins) < 0.97 * len(best_fit(sizes, 1024))
+    assert int((search.fill ** 2).sum()) > start and search.fill.max() <= 1024
+    assert sorted(i for b in bins for i in b) == list(range(600))
+
+
+def test_every_pair_of_a_bin_of_many_documents_is_tried():
+    """The only exchange that fits gives two of the sixty smallest documents of the bin for one."""
+    sizes = [50, 49, *[3] * 60, *[4] * 60, 41, 52]
+    bins = [[0, 1], list(range(2, 122)), [122, 123]]
+    search = LocalSearch(sizes, bins, 500)
+    search.run()
+    assert sum(len(b) > 0 for b in search.bins) == search.bound == 2
+
+
+def test_a_step_always_raises_the_squared_fill():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        sizes = rng.integers(1, 40, 40).tolist()
+        bins, k = [], 0
+        while k < 40:
+            n = int(rng.integers(1, 4))
+            bins.append([i for i in range(k, min(40, k + n))])
+            k += n
+        search = LocalSearch(sizes, bins, 120)
+        for _ in range(50):
+            before = int((search.fill ** 2).sum())
+            if not search._step(int(rng.choice(np.flatnonzero(search.fill > 0)))):
+                continue
+            assert int((search.fill ** 2).sum()) > before and search.fill.max() <= 120
