@@ -103,6 +103,7 @@ class LocalSearch:
         self.owner = np.empty(len(sizes), np.int64)
         for k, b in enumerate(self.bins):
             self.owner[b] = k
+        self.pairs: tuple[np.ndarray, np.ndarray] | None = None
         self.bound = -(-int(self.sizes.sum()) // capacity) if len(sizes) else 0
 
     def run(self) -> list[list[int]]:
@@ -150,7 +151,9 @@ class LocalSearch:
         gain, place, size = self._largest(two | one, self.sizes[others], slack[others])
         give, take = (two | one).get(size, []), [int(others[place])] if gain else []
         if not gain:
-            left, right = self._pairs(room, max(one))
+            if self.pairs is None:
+                self.pairs = self._pairs()
+            left, right = self.pairs
             gain, place, size = self._largest(one, self.sizes[left] + self.sizes[right], room[self.owner[left]])
             give, take = one.get(size, []), [int(left[place]), int(right[place])] if gain else []
         if not gain:
@@ -169,28 +172,21 @@ class LocalSearch:
         place = int(np.argmax(won))
         return max(0, int(won[place])), place, int(sizes[max(0, fitting[place])])
 
-    def _pairs(self, room: np.ndarray, largest: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of documents that share a bin with room and are together smaller than ``largest``, one for each size."""
+    def _pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of documents that share an underfull bin, two at most of each size in a bin. Kept until a bin changes."""
         left, right = [], []
-        for k in np.flatnonzero(room > 0).tolist():
+        for k in np.flatnonzero((self.fill > 0) & (self.fill < self.capacity)).tolist():
             one: dict[int, list[int]] = {}
             for i in self.bins[k]:
                 one.setdefault(int(self.sizes[i]), []).append(i)
-            sizes = sorted(one)
-            for n, x in enumerate(sizes):
-                if 2 * x >= largest:
-                    break
-                if len(one[x]) > 1:
-                    left.append(one[x][0])
-                    right.append(one[x][1])
-                for y in sizes[n + 1:]:
-                    if x + y >= largest:
-                        break
-                    left.append(one[x][0])
-                    right.append(one[y][0])
+            some = [i for own in one.values() for i in own[:2]]
+            for n, a in enumerate(some[:-1]):
+                left += [a] * (len(some) - n - 1)
+                right += some[n + 1:]
         return np.array(left, np.int64), np.array(right, np.int64)
 
     def _exchange(self, source: int, target: int, give: list[int], take: list[int]) -> None:
+        self.pairs = None
         for i in give:
             self.bins[source].remove(i)
             self.bins[target].append(i)
