@@ -2,67 +2,20 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key with at least 1/HOT_SHARE of all rows is hot; there can be at most HOT_SHARE such keys.
-HOT_SHARE = 1000
-
-_scratch: list[tuple[SparkSession, str]] = []
-_made: dict[str, str] = {}   # the folders of local sessions, by application
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
-
-    Where it is unset, a local-mode session (tests) gets a fresh temporary folder; a cluster must name one.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    master = spark.sparkContext.master
-    if not master.startswith("local") or master.startswith("local-cluster"):
-        raise RuntimeError("spark.checkpoint.dir is not set; name a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _made:
-        _made[app] = "file://" + tempfile.mkdtemp(prefix="searchlens-llm-")
-    return _made[app]
-
+from ..scratch import scratch_path
+from ..scratch import written as saved
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder, deleted when the driver's Python ends."""
-    path = f"{shared_dir(spark)}/searchlens-llm/{uuid.uuid4().hex}/{name}"
-    if not _scratch:
-        atexit.register(_drop_scratch)
-    _scratch.append((spark, path))
-    return path
+__all__ = ["HOT_SHARE", "lookup", "pieces_of", "saved", "scratch_path", "strings", "text_of"]
 
-
-def _drop_scratch() -> None:
-    for spark, path in _scratch:
-        try:
-            jvm = spark.sparkContext._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path.rpartition("/")[0])
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-        except Exception:  # the session is gone already; the folder is left to its owner
-            return
-
-
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: computed once, and its lineage cut.
-
-    A lost executor then costs a new read of the table, not a new run of the plan behind it.
-    """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+# A key with at least 1/HOT_SHARE of all rows is hot; there can be at most HOT_SHARE such keys.
+HOT_SHARE = 1000
 
 
 def text_of(name: str = "text") -> Column:
