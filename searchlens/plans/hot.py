@@ -9,7 +9,7 @@ per-type ones, which hold it.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -89,15 +89,16 @@ def searchers_by_log(tagged: DataFrame) -> DataFrame:
     return search_counts(tagged.select("log", "user_id", *SEARCH_COLUMNS).distinct())
 
 
-def split_log(log: DataFrame, members: Mapping[str, tuple[F.Column, F.Column]], user_col: str = "user_id") -> DataFrame:
+def split_log(log: DataFrame, members: Sequence[tuple[F.Column, F.Column]], user_col: str = "user_id") -> DataFrame:
     """G5 over one table that holds several logs: a row per log that a row of the table belongs to.
 
-    ``members`` gives for each log its condition and its search text. The
+    ``members`` gives the condition and the search text of each log. The
     table is read once; rows without text, or in no log, go.
     """
-    entries = [F.when(cond, F.struct(F.lit(name).alias("log"), text.alias("search_text"))) for name, (cond, text) in members.items()]
+    # An entry per log, without text where the row is not in it.
+    entries = [F.struct(F.lit(k).alias("log"), F.when(cond, text).alias("search_text")) for k, (cond, text) in enumerate(members)]
     text = F.col("entry.search_text")
-    return (log.select(user_col, "content_type", "sid", F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("entry"))
+    return (log.select(user_col, "content_type", "sid", F.explode(F.array(*entries)).alias("entry"))
             .where(text.isNotNull() & (F.length(text) > 0))
             .select(F.col("entry.log").alias("log"), F.col(user_col).alias("user_id"), text.alias("search_text"), "content_type", "sid"))
 

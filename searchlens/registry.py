@@ -276,11 +276,11 @@ def q_hot_lines_split_types(spark, d):
 def q_hot_by_type_three_logs(spark, d):
     """Unique searchers of three logs in one pass; the third has all rows, its search text from the sid's path."""
     log = C.filter_window(C.filter_content_type(fx.search_log(spark, d), SHORT_LONG), SEARCH_AS_OF, SEARCH_DAYS)
-    log = log.join(fx.path_log(spark, d), "sid", "left")
-    tagged = hot.split_log(log, {
-        "play": (F.col("log_type") == "play", F.col("search_text")),
-        "detail": (F.col("log_type") == "detail", F.col("search_text")),
-        "path": (F.col("path").isNotNull(), S.path_code_home("path", config.HOME_PATH_TYPES))})
+    codes = fx.path_log(spark, d).select("sid", S.path_code_home("path", config.HOME_PATH_TYPES).alias("path_code"))
+    tagged = hot.split_log(log.join(codes, "sid", "left"), [
+        (F.col("log_type") == "play", F.col("search_text")),
+        (F.col("log_type") == "detail", F.col("search_text")),
+        (F.col("path_code").isNotNull(), F.col("path_code"))])
     return hot.hot_by_type(hot.rollup_with_titles(hot.searchers_by_log(tagged), fx.catalog(spark, d), risk_free=True))
 
 
