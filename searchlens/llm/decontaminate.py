@@ -44,8 +44,9 @@ SHARE = 0.76                # of an item's words that its window has at most
 GROWTH = 1.12               # from a window size to the next
 BLOCK_BYTES = 4 << 20       # of benchmark text that is broadcast at once
 PAIRED = 4                  # words from which an item's features are word pairs and not words
-_WORDS = 1 << 16            # words that are worked on at a time
+_WORDS = 1 << 15            # words that are worked on at a time
 _CHARS = 8 << 20
+_ROWS = 1 << 10             # windows that are counted at a time
 
 _PUNCTUATION = bytes(range(33, 48)) + bytes(range(58, 65)) + bytes(range(91, 97)) + bytes(range(123, 127))
 _TO_SPACE = bytes.maketrans(_PUNCTUATION, b" " * len(_PUNCTUATION))
@@ -83,8 +84,15 @@ def window_prints(sums: np.ndarray, size: int, step: int) -> np.ndarray:
     """The SimHash of every window of ``size`` features, ``step`` features apart."""
     if len(sums) <= size:
         return np.empty(0, np.uint64)
-    counts = sums[size::step] - sums[:-size:step]
-    return np.packbits(counts > size // 2, axis=1, bitorder="little").view("<u8").ravel()
+    later, earlier = sums[size::step], sums[:-size:step]
+    # Some windows at a time, so that what is worked on stays in the processor's cache.
+    out, counts, more = np.empty((len(later), 8), np.uint8), np.empty((_ROWS, 64), np.uint16), np.empty((_ROWS, 64), bool)
+    for k in range(0, len(later), _ROWS):
+        n = min(_ROWS, len(later) - k)
+        np.subtract(later[k:k + n], earlier[k:k + n], out=counts[:n])
+        np.greater(counts[:n], size // 2, out=more[:n])
+        out[k:k + n] = np.packbits(more[:n], axis=1, bitorder="little")
+    return out.view("<u8").ravel()
 
 
 def least_words(words: int, similarity: float = SIMILARITY) -> int:
